@@ -1,0 +1,5 @@
+"""Intentionally empty: every operator of this library is a batch DataFrame operator.
+
+The row-local operators (session features, hashing, text cleaning) are plain
+column expressions, so they can be applied to a streaming DataFrame unchanged.
+"""
