@@ -17,6 +17,8 @@ DEFAULTS: dict = {
         "xgb_params": {"n_estimators": 200, "max_depth": 6, "learning_rate": 0.05, "random_state": 42},
     },
     "nlp": {"embedding_dim": 384},
+    # buckets of the catalog's session tables; None means one per shuffle partition
+    "storage": {"session_buckets": None},
     "segmentation": {
         "n_clusters": 10,
         "kmeans_init": "k-means||",

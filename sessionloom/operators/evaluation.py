@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import interval_index, ratio, round_half_up
+from ..functions.numeric import ratio, round_half_up
 from .ranking import range_splits, running_sums
 
 CLASS_NAMES = {0: "Different User", 1: "Same User"}
@@ -165,18 +165,14 @@ def _one_row(df: DataFrame, **values: float | None) -> DataFrame:
 
 
 def threshold_sweep(predictions: DataFrame, thresholds: Sequence[float] | None = None) -> DataFrame:
-    """Quality figures at each threshold.
-
-    Every row falls in one interval between thresholds; the interval counts (one row per
-    threshold) are all the sweep needs, so rows are never multiplied by thresholds.
-    """
+    """Quality figures at each threshold: one pass, two counters per threshold, no row is multiplied."""
     points = sorted(float(t) for t in (default_thresholds() if thresholds is None else thresholds))
-    indexed = predictions.select("label", interval_index(F.col("probability"), points).alias("i"))
-    counts = indexed.agg(
-        *[F.count_if((F.col("label") == 1) & (F.col("i") > j)).alias(f"tp{j}") for j in range(len(points))],
-        *[F.count_if((F.col("label") == 0) & (F.col("i") > j)).alias(f"fp{j}") for j in range(len(points))],
-        F.count_if(F.col("label") == 1).alias("p"),
-        F.count_if(F.col("label") == 0).alias("n"),
+    positive, negative = F.col("label") == 1, F.col("label") == 0
+    counts = predictions.agg(
+        *[F.count_if(positive & (F.col("probability") >= t)).alias(f"tp{j}") for j, t in enumerate(points)],
+        *[F.count_if(negative & (F.col("probability") >= t)).alias(f"fp{j}") for j, t in enumerate(points)],
+        F.count_if(positive).alias("p"),
+        F.count_if(negative).alias("n"),
     )
     rows = []
     for j, t in enumerate(points):

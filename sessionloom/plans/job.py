@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from typing import Any
 
@@ -51,11 +50,6 @@ class TableStore:
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 2_000_000) -> int:
-    """Buckets for a table of ``rows`` rows, at least 8."""
-    return max(8, math.ceil(rows / rows_per_bucket))
-
-
 def run(
     spark: SparkSession,
     raw_sessions: DataFrame,
@@ -75,7 +69,7 @@ def run(
     cfg = make_config(cfg)
     store = store or TableStore(spark)
     featured = anonymise(session_features(raw_sessions))
-    buckets = bucket_count(raw_sessions.count()) if store.database else None
+    buckets = cfg["storage"]["session_buckets"] or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sessions = store.save(featured, "sessions", "session_id", buckets)
     tables = {"sessions": sessions, "dataset_profile": dataset_profile(sessions)}
 

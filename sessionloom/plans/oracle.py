@@ -421,13 +421,15 @@ FROM points UNION ALL SELECT NULL, 1.0, 0.0""")
               FROM (VALUES {levels}) t(v) CROSS JOIN scored GROUP BY t.v)
 SELECT round(v, 2) AS threshold, {_metrics()} FROM counted""")
     q["identity_graph_stats"] = _with(["scored"], f"""
-, matched AS (SELECT * FROM scored WHERE predicted_label = 1)
+, matched AS MATERIALIZED (
+  SELECT m.*, a.device_type <> b.device_type AS crosses
+  FROM (SELECT * FROM scored WHERE predicted_label = 1) m
+  JOIN sessions a ON a.session_id = m.session_id_a JOIN sessions b ON b.session_id = m.session_id_b)
 SELECT (SELECT count(*) FROM scored) AS total_pairs_evaluated, count(*) AS matched_pairs,
        {_rnd("100.0::DOUBLE * count(*) / (SELECT count(*) FROM scored)", 2)} AS match_rate_pct,
        (SELECT count(*) FROM (SELECT session_id_a FROM matched UNION SELECT session_id_b FROM matched))
          AS sessions_in_identity_graph,
-       (SELECT count(*) FROM matched m JOIN sessions a ON a.session_id = m.session_id_a
-          JOIN sessions b ON b.session_id = m.session_id_b WHERE a.device_type <> b.device_type) AS cross_device_matches,
+       count(*) FILTER (crosses) AS cross_device_matches,
        {_rnd("avg(probability)", 4)} AS avg_match_probability FROM matched""")
 
     q["document_keywords"] = "WITH " + _phrases("documents", "doc_id", "text", "words").strip() + """

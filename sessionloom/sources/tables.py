@@ -32,14 +32,17 @@ def write_table(
     """Write a catalog table from the executors.
 
     ``bucket_by`` with ``buckets`` stores the table hash-clustered and sorted on a key, so
-    later joins on it need no shuffle of this side. ``path`` makes it an external table.
+    later joins on it need no shuffle of this side; rows are sent to their bucket first, which
+    gives one file per bucket. ``path`` makes it an external table.
     """
     if if_exists not in _WRITE_MODES:
         raise ValueError(f"if_exists must be one of {sorted(_WRITE_MODES)}, not {if_exists!r}")
-    writer = df.write.mode(_WRITE_MODES[if_exists]).format("parquet")
+    bucketed = bool(bucket_by and buckets)
+    placed = df.repartition(buckets, bucket_by) if bucketed else df
+    writer = placed.write.mode(_WRITE_MODES[if_exists]).format("parquet")
     if path:
         writer = writer.option("path", path)
-    if bucket_by and buckets:
+    if bucketed:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(table)
 
