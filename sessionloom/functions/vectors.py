@@ -2,38 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numeric import as_col
 
 
-def dot(a: Column | str, b: Column | str) -> Column:
-    """Inner product of two numeric arrays in double precision."""
-    products = F.zip_with(as_col(a), as_col(b), lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+def dot(a: Column | str, b: Column | str, size: int) -> Column:
+    """Inner product of two arrays of fixed ``size``; null if either is shorter.
+
+    Written out term by term, so it compiles into the stage instead of running an
+    interpreted lambda per element.
+    """
+    left, right = as_col(a), as_col(b)
+    terms = [F.get(left, F.lit(i)) * F.get(right, F.lit(i)) for i in range(size)]
+    return reduce(lambda x, y: x + y, terms)
 
 
-def l2_norm(a: Column | str) -> Column:
-    squares = F.aggregate(
-        as_col(a), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
-    )
-    return F.sqrt(squares)
+def l2_norm(a: Column | str, size: int) -> Column:
+    return F.sqrt(dot(a, a, size))
 
 
-def cosine(a: Column, b: Column, norm_a: Column, norm_b: Column) -> Column:
+def cosine(a: Column, b: Column, norm_a: Column, norm_b: Column, size: int) -> Column:
     """Cosine from precomputed norms; 0 for (near-)zero vectors or missing arrays."""
     product = norm_a * norm_b
-    return F.coalesce(F.when(product > F.lit(1e-9), dot(a, b) / product), F.lit(0.0))
-
-
-def l2_normalise(a: Column | str) -> Column:
-    """Scale an array to unit length; a zero vector stays zero."""
-    col = as_col(a)
-    norm = l2_norm(col)
-    return F.when(norm > 0, F.transform(col, lambda x: x.cast("double") / norm)).otherwise(
-        F.transform(col, lambda x: x.cast("double"))
-    )
+    return F.coalesce(F.when(product > F.lit(1e-9), dot(a, b, size) / product), F.lit(0.0))
 
 
 def shared_count(a: Column, b: Column) -> Column:

@@ -20,6 +20,9 @@ _GROUP_ROWS = 2048
 # Candidate attempts allowed per wanted negative.
 _MAX_ATTEMPTS = 10
 _US_PER_HOUR = 3.6e9
+HOURS = 24
+# Below this many sessions the number of accepted candidates is counted, not estimated.
+_COUNT_BELOW = 1_000_000
 
 PAIR_KEYS = ["label", "draw", "session_id_a", "session_id_b"]
 
@@ -79,13 +82,13 @@ def sampling_plan(sessions: DataFrame, n_per_user: int, ratio: float) -> dict[st
     total = int(row["sessions"])
     wanted = int(row["users"] * n_per_user * ratio)
     if total < 2 or wanted == 0:
-        return {"wanted": wanted, "draws": 0, "groups": 1}
+        return {"wanted": wanted, "draws": 0, "most": 0, "groups": 1, "total": total}
     groups = max(1, total // _GROUP_ROWS)
     accepted = 1.0 - float(row["same"]) / (float(total) * float(total))
     per_draw = max(total - groups, 1)
     most = math.ceil(_MAX_ATTEMPTS * wanted / per_draw)
     enough = math.ceil(1.25 * wanted / (per_draw * accepted)) + 1 if accepted > 0 else most
-    return {"wanted": wanted, "draws": min(enough, most), "groups": groups}
+    return {"wanted": wanted, "draws": min(enough, most), "most": most, "groups": groups, "total": total}
 
 
 def negative_candidates(sessions: DataFrame, draws: int, groups: int, seed: int = 42) -> DataFrame:
@@ -107,6 +110,20 @@ def negative_candidates(sessions: DataFrame, draws: int, groups: int, seed: int
     )
 
 
+def _enough_draws(sessions: DataFrame, plan: dict[str, int], seed: int) -> int:
+    """Draws that really give the wanted number, up to the attempt limit.
+
+    The planned margin (a quarter and one draw) cannot fall short on large tables; on small
+    ones, where chance matters, the accepted candidates are counted.
+    """
+    draws = plan["draws"]
+    if plan["total"] >= _COUNT_BELOW:
+        return draws
+    while draws < plan["most"] and negative_candidates(sessions, draws, plan["groups"], seed).count() < plan["wanted"]:
+        draws = min(2 * draws, plan["most"])
+    return draws
+
+
 def negative_pairs(
     sessions: DataFrame, n_per_user: int = 3, ratio: float = 1.5, seed: int = 42, plan: dict[str, int] | None = None
 ) -> DataFrame:
@@ -114,7 +131,8 @@ def negative_pairs(
     plan = plan or sampling_plan(sessions, n_per_user, ratio)
     if plan["draws"] == 0:
         return positive_pairs(sessions, 1, seed).where(F.lit(False))
-    candidates = negative_candidates(sessions, plan["draws"], plan["groups"], seed).withColumn(
+    draws = _enough_draws(sessions, plan, seed)
+    candidates = negative_candidates(sessions, draws, plan["groups"], seed).withColumn(
         "_key", hash_key("pick", seed, F.col("draw"), F.col("session_id_a"), F.col("session_id_b"))
     )
     kept = rank_by_hash(candidates, "_key", ["session_id_a", "session_id_b"], first=plan["wanted"], rank="_rank")
@@ -179,7 +197,7 @@ def pair_side(sessions: DataFrame) -> DataFrame:
     """The session columns a pair needs, packed in one struct with the histogram norm precomputed."""
     return sessions.select(
         "session_id",
-        F.struct(*_SESSION_SIDE, l2_norm("active_hours_profile").alias("hours_norm")).alias("s"),
+        F.struct(*_SESSION_SIDE, l2_norm("active_hours_profile", HOURS).alias("hours_norm")).alias("s"),
     )
 
 
@@ -226,7 +244,7 @@ def pair_feature_columns(a: str, b: str) -> dict[str, Column]:
         "same_hour_of_day": same("hour_of_day"),
         "same_day_of_week": same("day_of_week"),
         "active_hours_cosine": round_half_up(
-            cosine(*both("active_hours_profile"), *both("hours_norm")), 6
+            cosine(*both("active_hours_profile"), *both("hours_norm"), HOURS), 6
         ),
         "click_rate_diff": gap("click_rate"),
         "scroll_depth_diff": gap("scroll_depth_avg"),

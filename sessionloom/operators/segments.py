@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -19,7 +20,7 @@ from ..config import make_config
 from ..functions.numeric import round_half_up
 from ..functions.text import segment_label
 from .ranking import sample_rows
-from .textsignals import as_vector, normalised
+from .textsignals import unit_features
 
 SEARCH_SAMPLE = 10_000
 SEARCH_SCORED = 5_000
@@ -42,9 +43,10 @@ def point_silhouettes(points: DataFrame, id_col: str, vector_col: str, cluster_c
     points is ever a row.
     """
     spark = points.sparkSession
-    local = points.select(
-        F.col(vector_col).cast("array<double>").alias("v"), F.col(cluster_col).cast("int").alias("c")
-    ).limit(FINAL_SCORED + 1).toPandas()
+    is_array = dict(points.dtypes)[vector_col].startswith("array")
+    values = F.col(vector_col).cast("array<double>") if is_array else vector_to_array(vector_col)
+    points = points.select(id_col, values.alias("v"), F.col(cluster_col).cast("int").alias("c"))
+    local = points.select("v", "c").limit(FINAL_SCORED + 1).toPandas()
     if len(local) > FINAL_SCORED:
         raise ValueError(f"silhouette needs a sample of at most {FINAL_SCORED} points")
     schema = f"{id_col} {dict(points.dtypes)[id_col]}, silhouette double"
@@ -78,9 +80,7 @@ def point_silhouettes(points: DataFrame, id_col: str, vector_col: str, cluster_c
                 value = np.divide(outer - inner, top, out=np.zeros(len(part)), where=valid)
                 yield pd.DataFrame({id_col: part[id_col].to_numpy(), "silhouette": value})
 
-    return points.select(
-        id_col, F.col(vector_col).cast("array<double>").alias("v"), F.col(cluster_col).cast("int").alias("c")
-    ).mapInPandas(measure, schema)
+    return points.mapInPandas(measure, schema)
 
 
 def mean_silhouette(
@@ -151,13 +151,13 @@ def find_best_k(
 ) -> tuple[int, dict[int, float]]:
     """Fit each k on one cached, bounded sample; the best mean silhouette wins, the first k on ties."""
     sample = subsample(embeddings.select(id_col, vector_col), sample_size, id_col, seed)
-    vectors = as_vector(normalised(sample, vector_col), vector_col).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = unit_features(sample, vector_col).persist(StorageLevel.MEMORY_AND_DISK)
     scores: dict[int, float] = {}
     try:
         for k in k_range:
             model, _ = train_kmeans(vectors, k, max_iter=max_iter, seed=seed, restarts=restarts)
             scored = mean_silhouette(
-                assign_segments(vectors, model), id_col, vector_col, sample_size=SEARCH_SCORED, seed=seed
+                assign_segments(vectors, model), id_col, "features", sample_size=SEARCH_SCORED, seed=seed
             )
             scores[k] = float(scored.first()["silhouette"])
     finally:
@@ -310,20 +310,20 @@ def run_segmentation(
     seg = make_config(cfg)["segmentation"]
     seed = seg["kmeans_random_state"]
     k_range, n_clusters, search = list(seg["k_search_range"]), seg["n_clusters"], {}
-    unit = normalised(sessions, vector_col)
     if len(k_range) > 1:
         n_clusters, search = find_best_k(
             sessions, k_range, id_col, vector_col, seed=seed, restarts=seg["search_restarts"]
         )
-    vectors = as_vector(unit.select(id_col, vector_col), vector_col).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = unit_features(sessions.select(id_col, vector_col), vector_col).drop(vector_col)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model, inertia = train_kmeans(
             vectors, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"]
         )
-        scored = mean_silhouette(assign_segments(vectors, model), id_col, vector_col, seed=seed).first()
+        scored = mean_silhouette(assign_segments(vectors, model), id_col, "features", seed=seed).first()
     finally:
         vectors.unpersist()
-    segmented = assign_segments(as_vector(unit, vector_col), model).drop("features")
+    segmented = assign_segments(unit_features(sessions, vector_col), model).drop("features")
     return SegmentationResult(
         segmented=segmented,
         profiles=label_segments(segmented, seg["top_keywords_per_segment"]),

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, keyword_phrases
-from ..functions.vectors import l2_normalise
 
 
 def text_columns(df: DataFrame, text_col: str = "interaction_text") -> DataFrame:
@@ -42,13 +41,15 @@ def embed_texts(
     return embedded.drop("_tokens", "_counts", "_weighted", "_unit")
 
 
-def normalised(df: DataFrame, col: str = "embedding") -> DataFrame:
-    """Unit-length copy of an array column; zero vectors stay zero."""
-    return df.withColumn(col, l2_normalise(col))
+def unit_features(df: DataFrame, col: str = "embedding", out: str = "features") -> DataFrame:
+    """Add the unit-length ML vector of an array column; a zero vector stays zero."""
+    raw = df.withColumn("_raw", array_to_vector(F.col(col).cast("array<double>")))
+    return Normalizer(inputCol="_raw", outputCol=out, p=2.0).transform(raw).drop("_raw")
 
 
-def as_vector(df: DataFrame, col: str = "embedding", out: str = "features") -> DataFrame:
-    return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
+def normalised(df: DataFrame, col: str = "embedding") -> DataFrame:
+    """Unit-length copy of an array column; zero vectors stay zero."""
+    return unit_features(df, col, "_unit").withColumn(col, vector_to_array("_unit")).drop("_unit")
 
 
 def process_sessions_text(sessions: DataFrame, dim: int = 384, model: PipelineModel | None = None) -> DataFrame:

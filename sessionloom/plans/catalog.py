@@ -118,7 +118,7 @@ def session_hours(w: Workspace) -> DataFrame:
 
 
 def document_clean_text(w: Workspace) -> DataFrame:
-    return w.source("documents").select("doc_id", clean_text("text").alias("clean_text"))
+    return w.documents().select("doc_id", clean_text("text").alias("clean_text"))
 
 
 def network_prefix(w: Workspace) -> DataFrame:
@@ -167,7 +167,7 @@ def keyed_hash(w: Workspace) -> DataFrame:
 
 def document_hash(w: Workspace) -> DataFrame:
     """HMAC of whole non-ASCII texts."""
-    return w.source("documents").select("doc_id", hmac_sha256("text", "salt").alias("text_hmac"))
+    return w.documents().select("doc_id", hmac_sha256("text", "salt").alias("text_hmac"))
 
 
 def anonymised_sessions(w: Workspace) -> DataFrame:
@@ -302,7 +302,7 @@ def saved_model_scores(w: Workspace) -> DataFrame:
 
 
 def document_keywords(w: Workspace) -> DataFrame:
-    phrases = w.source("documents").select("doc_id", keyword_phrases("text").alias("p"))
+    phrases = w.documents().select("doc_id", keyword_phrases("text").alias("p"))
     return phrases.select("doc_id", F.array_join("p", ";").alias("keywords"), F.size("p").alias("n_keywords"))
 
 
@@ -322,7 +322,7 @@ def unit_vectors(w: Workspace) -> DataFrame:
 
 
 def text_embeddings(w: Workspace) -> DataFrame:
-    docs = w.source("documents").select("doc_id", clean_text("text").alias("clean_text"))
+    docs = w.documents().select("doc_id", clean_text("text").alias("clean_text"))
     return tx.embed_texts(docs).select("doc_id", "embedding")
 
 
@@ -361,7 +361,7 @@ def segment_profiles(w: Workspace) -> DataFrame:
 
 def kmeans_segments(w: Workspace) -> DataFrame:
     """Fit on unit vectors, assign every vector, report size and inertia per segment."""
-    vectors = tx.as_vector(tx.normalised(w.source("embeddings")))
+    vectors = tx.unit_features(w.source("embeddings"))
     model, inertia = sg.train_kmeans(vectors, 10, restarts=2)
     return (
         sg.assign_segments(vectors, model)

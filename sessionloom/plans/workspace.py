@@ -18,7 +18,7 @@ from ..operators.matching import identity_pairs
 from ..operators.pairs import build_feature_matrix, number_pairs, sample_pairs, stratified_split
 from ..operators.segments import label_segments
 from ..operators.textsignals import text_columns
-from ..session import configure, shared_dir
+from ..session import configure, shared_dir, spread
 from ..sources.events import read_events, sessions_from_events
 from .job import TableStore, run
 
@@ -40,6 +40,10 @@ class Workspace:
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def documents(self) -> DataFrame:
+        """Texts, spread over the cores: text work is heavy and a small file is one split."""
+        return spread(self.source("documents"))
+
     def events(self) -> DataFrame:
         return read_events(self.spark, self.sf_dir)
 

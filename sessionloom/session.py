@@ -62,3 +62,9 @@ def checkpointed(df):
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
     return df.checkpoint()
+
+
+def spread(df):
+    """Spread a source that has fewer input splits than the session has cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
