@@ -56,6 +56,8 @@ def sample_rows(df: DataFrame, n: int, id_col: str, seed: int | str = 42, tag: s
 def range_splits(df: DataFrame, col: str, pieces: int = 64) -> list[float]:
     """Distinct approximate quantiles of ``col``: fixed once, so every branch of a plan agrees."""
     probabilities = [i / pieces for i in range(1, pieces)]
+    if not probabilities:
+        return []
     return sorted(set(df.approxQuantile(col, probabilities, 0.25 / pieces)))
 
 
