@@ -297,3 +297,10 @@ def pair_integrity(pairs: DataFrame, sessions: DataFrame) -> DataFrame:
             F.count_if(F.coalesce(F.col("copies"), F.lit(1)) > 1).alias("ambiguous_ends"),
         )
     )
+
+
+def require_known_sessions(pairs: DataFrame, sessions: DataFrame) -> None:
+    """Raise KeyError when a pair names a session that is missing or not unique."""
+    found = pair_integrity(pairs, sessions).first()
+    if found["missing_a"] or found["missing_b"] or found["ambiguous_ends"]:
+        raise KeyError(f"unusable session ids in pairs: {found.asDict()}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from ..sources.events import activity_histogram
 from .workspace import Workspace
 
 # Smaller fits for the catalogue; the library defaults stay as they are.
-_SMALL_TREES = {"rf_params": {"n_estimators": 50}, "xgb_params": {"n_estimators": 10, "max_depth": 4}}
+_SMALL_TREES = {"xgb_params": {"n_estimators": 20}}
 _SMALL_SEARCH = {"k_search_range": [6, 8, 10], "kmeans_restarts": 1, "search_restarts": 1, "kmeans_max_iter": 100}
 
 
@@ -285,6 +286,21 @@ def logistic_regression(w: Workspace) -> DataFrame:
     return _trained(w, "logistic_regression").metrics
 
 
+def model_scored_pairs(w: Workspace) -> DataFrame:
+    """Pairs scored by a fitted model: per split and label, all, with a probability, with the right decision."""
+    model = mt.fit_on(w.feature_pairs(), "logistic_regression")
+    p, decision = F.col("probability"), F.col("predicted_label")
+    return (
+        mt.identity_pairs(mt.score(w.feature_pairs(), model, 0.7))
+        .groupBy("split", "label")
+        .agg(
+            F.count(F.lit(1)).alias("n_pairs"),
+            F.count_if(p.between(0.0, 1.0)).alias("n_probabilities"),
+            F.count_if((p >= 0.7) == (decision == 1)).alias("n_decisions"),
+        )
+    )
+
+
 def feature_importance(w: Workspace) -> DataFrame:
     model = mt.fit_on(w.feature_pairs(), "random_forest", _SMALL_TREES)
     return mt.top_features(mt.feature_importance(model, w.spark))
@@ -326,6 +342,17 @@ def text_embeddings(w: Workspace) -> DataFrame:
     return tx.embed_texts(docs).select("doc_id", "embedding")
 
 
+def embedding_norms(w: Workspace) -> DataFrame:
+    """Dimension and squared length of every document's embedding (0 for a text without words)."""
+    embedded = text_embeddings(w)
+    squares = F.aggregate(
+        "embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
+    )
+    return embedded.select(
+        "doc_id", F.size("embedding").alias("n_dims"), round_half_up(squares, 3).alias("squared_length")
+    )
+
+
 # -- segments ------------------------------------------------------------------------
 
 
@@ -371,6 +398,28 @@ def kmeans_segments(w: Workspace) -> DataFrame:
     )
 
 
+def kmeans_assignment(w: Workspace) -> DataFrame:
+    """Every vector is assigned once, all segments are used and each vector sits at its nearest centre."""
+    vectors = tx.unit_features(w.source("embeddings").select("vec_id", "embedding"))
+    model, _ = sg.train_kmeans(vectors, 10, restarts=1)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+
+    def apart(centre: F.Column) -> F.Column:
+        gaps = F.zip_with(F.col("v"), centre, lambda x, y: (x - y) * (x - y))
+        return F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
+
+    measured = sg.assign_segments(vectors, model).select(
+        "vec_id", "segment_id", vector_to_array("features").alias("v")
+    ).withColumn("distances", F.transform(centres, apart))
+    own = F.element_at("distances", F.col("segment_id") + 1)
+    return measured.agg(
+        F.count(F.lit(1)).alias("n_assigned"),
+        F.countDistinct("vec_id").alias("n_vectors"),
+        F.countDistinct("segment_id").alias("n_segments"),
+        F.count_if(own > F.array_min("distances") + F.lit(1e-9)).alias("n_misplaced"),
+    )
+
+
 def kmeans_search(w: Workspace) -> DataFrame:
     _, scores = sg.find_best_k(w.source("embeddings"), _SMALL_SEARCH["k_search_range"], "vec_id", restarts=1)
     return sg.search_scores(w.spark, scores)
@@ -503,10 +552,10 @@ _QUERIES = [
     eligible_users, positive_pairs, negative_pairs, sampled_pairs, numbered_split, pair_features, pair_integrity,
     identity_pairs, classification_metrics, roc_auc, confusion_matrix, classification_report,
     roc_points, precision_recall_points, threshold_sweep, identity_graph_stats,
-    random_forest, boosted_trees, logistic_regression, feature_importance, saved_model_scores,
-    document_keywords, session_text, unit_vectors, text_embeddings,
+    random_forest, boosted_trees, logistic_regression, model_scored_pairs, feature_importance, saved_model_scores,
+    document_keywords, session_text, unit_vectors, text_embeddings, embedding_norms,
     vector_subsample, silhouette, segment_terms, segment_devices, segment_sizes, segment_profiles,
-    kmeans_segments, kmeans_search, segmentation_run,
+    kmeans_segments, kmeans_assignment, kmeans_search, segmentation_run,
     device_summary, cross_device_users, category_sets, top_categories, hourly_volume, segment_overview,
     match_rate_by_devices, confident_pairs, diverse_users,
     kpi_row, device_distribution, hourly_by_device, users_by_device_count, segments_by_size, segment_radar,

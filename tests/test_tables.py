@@ -51,11 +51,11 @@ def test_csv_round_trip(spark, tmp_path):
         [{"interaction_text": 'say "hi", | then\nleave', "content_categories": ["a,b", 'q"q']}, {"os": None, "content_categories": []}],
     )
     path = str(tmp_path / "csv")
-    tb.save_sample(df.withColumn("interaction_text", F.regexp_replace("interaction_text", "\n", " ")), path)
-    back = tb.read_sessions_csv(spark, path)
+    tb.save_sample(df, path)
+    back = tb.read_sessions_csv(spark, path, multi_line=True)
     assert back.columns == df.columns and dict(back.dtypes) == dict(df.dtypes)
     rows = {r["session_id"]: r for r in back.collect()}
-    assert rows["s0"]["interaction_text"] == 'say "hi", | then leave'
+    assert rows["s0"]["interaction_text"] == 'say "hi", | then\nleave'
     assert rows["s0"]["content_categories"] == ["a,b", 'q"q'] and rows["s1"]["content_categories"] == []
     assert rows["s1"]["os"] is None and rows["s0"]["session_start"] == df.first()["session_start"]
     assert rows["s0"]["active_hours_profile"] == [1.0] + [0.0] * 23
