@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import make_config
 from ..functions.numeric import at_least
 from ..schemas import FEATURE_COLS
-from ..session import checkpointed
+from ..session import ensure_checkpoint_dir, materialised
 from .evaluation import classification_metrics, confusion_matrix, roc_auc
 from .pairs import build_feature_matrix, number_pairs, sample_pairs, stratified_split
 
@@ -122,19 +122,20 @@ def training_pairs(sessions: DataFrame, cfg: dict[str, Any]) -> DataFrame:
     """Sampled, numbered and split pairs with features, materialised once.
 
     Sampling feeds several passes (ranks, split sizes, joins), so the narrow pair table is
-    checkpointed before the wide join and the feature table after it.
+    written before the wide join and the feature table after it.
     """
     identity, seed = cfg["identity"], cfg["data"]["random_seed"]
-    pairs = checkpointed(
-        sample_pairs(sessions, identity["n_pairs_per_user"], identity["neg_pos_ratio"], seed)
+    pairs = materialised(
+        sample_pairs(sessions, identity["n_pairs_per_user"], identity["neg_pos_ratio"], seed), "pairs"
     )
     split = stratified_split(number_pairs(pairs, seed), identity["test_size"], seed)
-    return checkpointed(build_feature_matrix(split, sessions))
+    return materialised(build_feature_matrix(split, sessions), "features")
 
 
 def fit_on(features: DataFrame, name: str, cfg: dict | None = None) -> PipelineModel:
     """Fit scaler and classifier on the rows of the train split."""
-    train = features.where(F.col("split") == "train")
+    ensure_checkpoint_dir(features.sparkSession)
+    train = features.where(F.col("split") == "train").select("label", *FEATURE_COLS)
     sizes = label_sizes(train)
     return matching_pipeline(name, cfg, sum(sizes.values())).fit(with_balanced_weights(train, sizes))
 
@@ -158,7 +159,7 @@ def train_identity_model(
     features = training_pairs(sessions, cfg) if features is None else features
     model = fit_on(features, name, identity)
     scored = score(features, model, threshold)
-    pairs = checkpointed(identity_pairs(scored))
+    pairs = materialised(identity_pairs(scored), "scored")
     test = pairs.where(F.col("split") == "test")
     n_train = pairs.where(F.col("split") == "train").agg(F.count(F.lit(1))).scalar()
     auc = roc_auc(test).select("roc_auc").scalar()

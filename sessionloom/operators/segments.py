@@ -117,12 +117,16 @@ def train_kmeans(
     restarts: int = 10,
     features_col: str = "features",
 ) -> tuple[KMeansModel, float]:
-    """Best of several seeded fits and its inertia. ``vectors`` should be unit length and persisted."""
+    """Best of several seeded fits and its inertia. ``vectors`` should be unit length and persisted.
+
+    ``k-means++`` is accepted and means its parallel form ``k-means||``.
+    """
+    mode = "k-means||" if init == "k-means++" else init
     best: tuple[KMeansModel, float] | None = None
     for attempt in range(restarts):
         model = KMeans(
             k=n_clusters,
-            initMode=init,
+            initMode=mode,
             maxIter=max_iter,
             seed=seed + attempt,
             featuresCol=features_col,

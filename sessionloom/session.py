@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan of this library relies on.
 RUNTIME_CONF = {
@@ -56,15 +56,24 @@ def shared_dir(spark: SparkSession, prefix: str = "sessionloom") -> str:
     return f"{root.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back, cutting lineage."""
-    spark = df.sparkSession
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give iterative fits a shared folder for their periodic checkpoints."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
-    return df.checkpoint()
 
 
-def spread(df):
+def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts lineage, survives lost executors, and later readers get column pruning and
+    filter pushdown.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
     """Spread a source that has fewer input splits than the session has cores; others stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

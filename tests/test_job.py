@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from sessionloom.config import make_config
 from sessionloom.operators.quality import enriched_quality, pair_quality, schema_mismatches, segment_quality
+from sessionloom.operators.segments import run_segmentation
 from sessionloom.operators.summaries import dataset_profile
+from sessionloom.operators.textsignals import process_sessions_text
 from sessionloom.plans.job import TableStore, run
 from sessionloom.schemas import IDENTITY_PAIRS_SCHEMA, SEGMENTS_SCHEMA, SESSIONS_ENRICHED_SCHEMA
 from sessionloom.session import shared_dir
@@ -77,6 +79,17 @@ def test_config_merge():
     assert cfg["data"]["random_seed"] == 7 and make_config()["data"]["random_seed"] == 42
 
 
+def test_foreign_config_sections_are_accepted(spark, sessions):
+    """A full config with extra sections and scikit-learn style names runs unchanged."""
+    cfg = make_config({
+        "database": {"backend": "sqlite"},
+        "identity": {"rf_params": {"class_weight": "balanced", "n_jobs": -1}},
+        "segmentation": {"kmeans_init": "k-means++", "k_search_range": [2], "kmeans_restarts": 1},
+    })
+    embedded = process_sessions_text(sessions, 8)
+    assert run_segmentation(embedded, {**cfg, "segmentation": {**cfg["segmentation"], "n_clusters": 2}}).n_clusters == 2
+
+
 def test_profile_without_known_columns(spark):
     rows = {r["metric"]: r["value"] for r in dataset_profile(spark.range(4), "t").collect()}
     assert rows == {"t_n_rows": 4, "t_n_cols": 1}
