@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from ..config import make_config
 from ..functions.numeric import round_half_up
 from ..functions.text import segment_label
+from ..session import spread
 from .ranking import sample_rows
 from .textsignals import unit_features
 
@@ -319,7 +320,7 @@ def run_segmentation(
             sessions, k_range, id_col, vector_col, seed=seed, restarts=seg["search_restarts"]
         )
     vectors = unit_features(sessions.select(id_col, vector_col), vector_col).drop(vector_col)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model, inertia = train_kmeans(
             vectors, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"]

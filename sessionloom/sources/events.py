@@ -93,8 +93,9 @@ def event_cells(events: DataFrame) -> DataFrame:
 def sessions_from_events(events: DataFrame, gap_us: int = SESSION_GAP_US) -> DataFrame:
     """One row per session, in the raw sessions contract plus ``first_event_id``.
 
-    Two shuffles: the cell fold, and one by user that serves the gap window, the
-    session aggregate and the per-user activity histogram.
+    Two shuffles of cells: the fold, and one by user that serves the gap window, the
+    session aggregate and the left join with the per-user activity histogram. The histogram
+    has one row per user, so a query that does not read it loses the join altogether.
     """
     if gap_us < HOUR_US:
         raise ValueError("the inactivity gap must be at least one hour")
@@ -105,11 +106,9 @@ def sessions_from_events(events: DataFrame, gap_us: int = SESSION_GAP_US) -> Dat
         event_cells(events)
         .withColumn("opens", opens)
         .withColumn("sno", F.sum("opens").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("hour", F.pmod("hour_slot", F.lit(24)))
     )
     category = _pick(CONTENT_CATEGORIES, F.col("user_id") + F.col("interest"))
     title = F.concat_ws(" ", "event_type", F.replace(F.col("category"), F.lit("_"), F.lit(" ")))
-    hour_counts = [F.sum(F.when(F.col("hour") == h, F.col("n")).otherwise(0)).alias(f"h{h}") for h in range(24)]
     sessions = (
         numbered.withColumn("category", category)
         .groupBy("user_id", "sno")
@@ -123,13 +122,9 @@ def sessions_from_events(events: DataFrame, gap_us: int = SESSION_GAP_US) -> Dat
             # bounded sets: at most INTERESTS_PER_USER categories, and their titles per event type
             F.array_sort(F.collect_set("category")).alias("content_categories"),
             F.array_sort(F.collect_set(title)).alias("titles"),
-            *hour_counts,
         )
     )
-    user = W.partitionBy("user_id")
-    profiled = sessions.withColumns(
-        {f"u{h}": F.sum(f"h{h}").over(user) for h in range(24)} | {"u_all": F.sum("pages_visited").over(user)}
-    )
+    profiled = sessions.join(activity_histogram(events), "user_id", "left")
     eid, sno = F.col("first_event_id"), F.col("sno")
     real_user = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
     device, os_name, browser = F.col("device_type"), F.col("os"), F.col("browser")
@@ -166,7 +161,7 @@ def sessions_from_events(events: DataFrame, gap_us: int = SESSION_GAP_US) -> Dat
             round_half_up(clip(F.col("max_k") / F.lit(99.0), 0.05, 1.0), 4).alias("scroll_depth_avg"),
             "content_categories",
             F.array_join("titles", TITLE_SEPARATOR).alias("interaction_text"),
-            F.array(*[F.col(f"u{h}") / F.col("u_all") for h in range(24)]).alias("active_hours_profile"),
+            "active_hours_profile",
             "first_event_id",
         )
     )
