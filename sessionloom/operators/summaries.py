@@ -71,7 +71,7 @@ def segmentation_run_metrics(spark: SparkSession, result, n_sessions: int, run:
     return spark.createDataFrame(rows, RUN_METRICS_SCHEMA)
 
 
-def pipeline_summary(sessions: DataFrame, metrics: DataFrame, segments: DataFrame | None) -> DataFrame:
+def job_summary(sessions: DataFrame, metrics: DataFrame, segments: DataFrame | None) -> DataFrame:
     """One row: sessions, unique users, accuracy, AUC and (when segmented) the number of segments."""
     n_segments = F.lit(None).cast("long") if segments is None else segments.agg(F.count(F.lit(1))).scalar()
     return sessions.agg(

@@ -16,7 +16,7 @@ from ..operators.segments import SegmentationResult, label_segments, run_segment
 from ..operators.summaries import (
     dataset_profile,
     identity_run_metrics,
-    pipeline_summary,
+    job_summary,
     segmentation_run_metrics,
 )
 from ..operators.textsignals import process_sessions_text
@@ -98,5 +98,5 @@ def run(
             segmentation_run_metrics(spark, segmentation, n_sessions, f"{run_name}_segmentation")
         )
     tables["run_metrics"] = store.save(run_metrics, "run_metrics")
-    summary = pipeline_summary(sessions, identity.metrics, profiles)
+    summary = job_summary(sessions, identity.metrics, profiles)
     return JobResult(tables, identity, segmentation, summary)

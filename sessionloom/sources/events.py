@@ -3,8 +3,9 @@
 Skew: one user may own a third of all events, so events are first folded into
 (user, hour, event type, interest) cells with map-side combining. An hour is
 shorter than the inactivity gap, so a cell never spans two sessions, and the
-number of cells per user is bounded by the time range, however many events the
-user has. Only cells reach the per-user window.
+number of cells per user is bounded by the time range (hours x event types x
+interests), however many events the user has. Only cells reach the per-user window.
+Event types are a small vocabulary; titles are sets over it.
 """
 
 from __future__ import annotations
