@@ -36,18 +36,6 @@ FEATURE_COLS = [
     "n_shared_categories",
 ]
 
-# Columns produced by the session feature projection.
-ENGINEERED_COLS = [
-    "click_rate",
-    "pages_per_minute",
-    "device_type_enc",
-    "is_mobile",
-    "hour_of_day",
-    "day_of_week",
-    "n_content_categories",
-]
-
-
 def _field(name: str, kind: T.DataType, nullable: bool = True) -> T.StructField:
     return T.StructField(name, kind, nullable)
 

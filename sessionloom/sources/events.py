@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 
 from ..functions.numeric import clip, round_half_up
 from ..functions.privacy import device_fingerprint_hash, sha256_hex, user_agent_hash
-from ..functions.text import title_words
+from ..functions.text import title_list
 
 # Content categories, device mix (of 20), systems and browsers per device.
 CONTENT_CATEGORIES = [
@@ -41,7 +41,6 @@ BROWSERS_BY_DEVICE = {
 HOUR_US = 3_600_000_000
 SESSION_GAP_US = 6 * HOUR_US
 INTERESTS_PER_USER = 4
-TITLE_SEPARATOR = " | "
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +160,7 @@ def sessions_from_events(events: DataFrame, gap_us: int = SESSION_GAP_US) -> Dat
             "click_count",
             round_half_up(clip(F.col("max_k") / F.lit(99.0), 0.05, 1.0), 4).alias("scroll_depth_avg"),
             "content_categories",
-            F.array_join("titles", TITLE_SEPARATOR).alias("interaction_text"),
+            title_list("titles").alias("interaction_text"),
             "active_hours_profile",
             "first_event_id",
         )
