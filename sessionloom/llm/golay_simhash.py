@@ -3,13 +3,16 @@
 A fingerprint has 64 bits: a bit is 1 if it is set in over half the 64-bit hashes of the text's
 shingles. Fingerprints link when at most ``MOST_BITS`` = 3 bits differ.
 
-Candidate search. The 64 bits are cut into three segments (22, 21 and 21 bits, padded to 23). With
-3 errors or fewer, at most one segment holds two or more, so at least two of the three segments
-differ in at most one bit. The Golay code is perfect: every 23-bit word has exactly one codeword
-within 3 bits, and a word one bit away has that codeword within 4. So for each of the three pairs of
-segments (p, q) a fingerprint is indexed under (nearest codeword of p, each codeword within 4 of q)
-and looks under (each codeword within 4 of p, nearest codeword of q): about 5.3 keys of 24 bits each
-way, and no linked pair is missed. Rows of a key are compared bit by bit (``buckets``).
+Candidate search. The 64 bits are cut into four segments of 16. With 3 errors or fewer, either one
+segment has none and the others one each at most, or one segment has two or more and at most one
+other has one. So if one segment is left out and one of two others is taken as it is, for each of the
+four left out (8 tables), in some table the exact segment has no error and the remaining two have at
+most one each. Those two go through the Golay code (padded to 23 bits). The code is perfect: every
+word has exactly one codeword within 3 bits, and a word one bit away has that codeword within 4. A
+fingerprint is indexed under (exact segment, nearest codeword of p, each codeword within 4 of q) and
+looks under (exact segment, each codeword within 4 of p, nearest codeword of q): about 5.3 keys of 40
+bits each way and table, and no linked pair is missed. Rows of a key are compared bit by bit
+(``buckets``).
 
 Defined results: null text is the empty text, whose fingerprint is 0 and which links like any other.
 Equal fingerprints are one node, whatever their number. A component's id is its smallest non-null
@@ -35,7 +38,11 @@ from .buckets import components, links_in_groups, shared_buckets
 SHINGLE = 3
 SEED = 42
 MOST_BITS = 3
-SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
+SEGMENT_BITS = 16
+# (exact segment, p, q) of each table: for every segment left out, each of the next two as the exact one
+TABLES = tuple(
+    (exact, *(s for s in range(4) if s not in (out, exact))) for out in range(4) for exact in ((out + 1) % 4, (out + 2) % 4)
+)
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 (fixed value)
 HASHES_AT_ONCE = 65_536
 
@@ -109,15 +116,17 @@ def codewords(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def golay_keys(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position, key, indexed) of all keys of the fingerprints."""
     bits = fingerprints.astype(np.int64).view(np.uint64)
-    decoded = [codewords((bits >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64)) for at, n in SEGMENTS]
+    parts = [(bits >> np.uint64(SEGMENT_BITS * k) & np.uint64(0xFFFF)).astype(np.int64) for k in range(4)]
+    decoded = [codewords(part) for part in parts]
     out = []
-    for table, (p, q) in enumerate(combinations(range(len(SEGMENTS)), 2)):
+    for table, (exact, p, q) in enumerate(TABLES):
+        start = (table << 40) | (parts[exact] << 24)
         for indexed in (True, False):
             one, many = (p, q) if indexed else (q, p)
             at, which = np.nonzero(decoded[many][1])
             single, several = decoded[one][0][at, 0], decoded[many][0][at, which]
             first, second = (single, several) if indexed else (several, single)
-            out.append((at, (table << 24) | (first << 12) | second, np.full(len(at), indexed)))
+            out.append((at, start[at] | (first << 12) | second, np.full(len(at), indexed)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
