@@ -66,8 +66,8 @@ class Encoding:
         self.starts = [m.start() for m in bpe.pattern.finditer(text)]
 
     def ids(self) -> bytes:
-        ends = [*self.starts[1:], len(self.text)]
-        return b"".join(self.bpe.packed[self.text[a:b]] for a, b in zip(self.starts, ends, strict=True))
+        borders = [*self.starts, len(self.text)]
+        return b"".join(self.bpe.packed[self.text[a:b]] for a, b in zip(borders, borders[1:], strict=False))
 
     def append(self, more: str) -> Encoding:
         return self.replace(len(self.text), len(self.text), more)

@@ -13,8 +13,9 @@ document is counted all the same, and the broadcast stays below about 60 bytes a
 A text gets the language of the lowest cross-entropy per symbol. ``score`` is that language's share
 when each language weighs exp(-cross-entropy * min(symbols, 32)). Rejection is calibrated on training
 documents left out of the counts (one in ``CALIBRATE_1_IN``): their squared distance from the
-language's mean is fitted as tau^2 + sigma^2 / symbols, and a text is rejected if its cross-entropy
-lies more than ``REJECT_AT`` such deviations above the mean.
+language's mean is fitted as tau^2 + sigma^2 / symbols (tau at least ``LEAST_SPREAD``), and a text is
+rejected if its cross-entropy lies more than ``REJECT_AT`` such deviations above the mean. A language
+without such documents takes the figures of all languages together.
 
 Defined results: null texts and texts without a letter get ``und``, score 0, and are rejected.
 Training documents without a language are left out; with none at all every text gets ``und``. Ties go
@@ -43,6 +44,7 @@ COUNT_AT_ONCE = 2_000_000
 SCORE_AT_ONCE = 500_000
 CALIBRATE_1_IN = 16
 REJECT_AT = 8.0
+LEAST_SPREAD = 0.15  # of a language's long documents, nats: nothing within REJECT_AT times this is rejected
 SCORE_SYMBOLS = 32
 UNKNOWN = "und"
 
@@ -334,20 +336,20 @@ def limits(labelled: DataFrame, models: Models) -> dict[str, tuple[float, float,
     h, x = F.col("h"), 1 / F.col("n")
     sums = {"docs": F.lit(1.0), "h": h, "hh": h * h, "x": x, "xx": x * x, "hx": h * x, "hhx": h * h * x}
     scored = labelled.mapInPandas(task, "lang string, h double, n long").where("n > 0")
-    found = {r["lang"]: r for r in scored.groupBy("lang").agg(*[F.sum(c).alias(k) for k, c in sums.items()]).collect()}
+    total = [F.sum(c).alias(k) for k, c in sums.items()]
+    found = {r["lang"]: r for r in scored.rollup("lang").agg(*total).collect()}  # one row per language and one for all
     out = {}
     for name in models.languages:
-        r = found.get(name)
-        if r is None or r["docs"] < 2:
+        r = found.get(name) or found.get(None)
+        if r is None or not r["docs"]:
             out[name] = (np.inf, 0.0, 0.0)  # nothing to calibrate on: never rejects
             continue
         docs, mean = r["docs"], r["h"] / r["docs"]
         y = r["hh"] - 2 * mean * r["h"] + mean * mean * docs  # sums of (h - mean)^2, alone and by 1 / n
         yx = r["hhx"] - 2 * mean * r["hx"] + mean * mean * r["x"]
         slope = (docs * yx - r["x"] * y) / max(docs * r["xx"] - r["x"] ** 2, 1e-12)
-        sigma2 = max(slope, 0.0)
-        tau2 = max((y - sigma2 * r["x"]) / docs, 1e-4)
-        out[name] = (mean, tau2, max(sigma2, 1.0))
+        sigma2 = max(slope, 1.0)
+        out[name] = (mean, max((y - sigma2 * r["x"]) / docs, LEAST_SPREAD**2), sigma2)
     return out
 
 

@@ -208,7 +208,9 @@ def lattice_components(vectors: DataFrame, dims: int, vec_id: str = "vec_id", ve
         named.where("_ok").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("_v").alias("vector")),
         "vectors",
     )
-    met = shared_buckets(_cell_rows(nodes.select("node", "vector")))
+    # few bytes make many rows: spread the nodes before their cells are found
+    pieces = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = shared_buckets(_cell_rows(nodes.select("node", "vector").repartition(pieces, "node")))
     found = materialised(_linked(met.join(nodes.select("node", "vector", "copies"), "node"), threshold), "links")
     roots = materialised(components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))), "roots")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
