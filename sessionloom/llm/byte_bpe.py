@@ -9,6 +9,8 @@ whatever their length; the memories of finished pieces are bounded and do not ch
 from __future__ import annotations
 
 import base64
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -32,18 +34,30 @@ class ByteBpe:
         self.core = PrefixBpe(ranks, lambda a, b: ranks.get(a + b))
         self.packed = Memo(self._packed)
 
-    def piece_tokens(self, piece: bytes) -> list[bytes]:
-        if piece in self.ranks:
-            return [piece]
-        return self.core.backwards(self.core.table(piece), len(piece))
+    def _ids(self, tokens: list[bytes]) -> bytes:
+        return array("I", map(self.ranks.__getitem__, tokens)).tobytes()
 
     def _packed(self, piece: str) -> bytes:
-        return np.array([self.ranks[t] for t in self.piece_tokens(piece.encode())], "<u4").tobytes()
+        data = piece.encode()
+        whole = data in self.ranks
+        return self._ids([data] if whole else self.core.backwards(self.core.table(data), len(data)))
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encode pieces that are not remembered, neighbours in order sharing their prefix entries."""
+        fresh = sorted(p.encode() for p in self.packed.unknown(pieces))
+        for data, last in self.core.tables(p for p in fresh if p not in self.ranks):
+            self.packed.put(data.decode(), self._ids(self.core.backwards(last, len(data))))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.packed.__getitem__, self.pattern.findall(text)))
 
+    def encode_all(self, texts: Iterable[str]) -> list[bytes]:
+        """``encode`` of every text."""
+        split = [self.pattern.findall(text) for text in texts]
+        self.learn(set().union(*split))
+        return [b"".join(map(self.packed.__getitem__, pieces)) for pieces in split]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -94,8 +108,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     """Add ``out`` (binary: ids as little-endian unsigned 32-bit integers) and ``n_tokens``."""
 
     def ids(texts: pd.Series) -> pd.Series:
-        bpe = byte_bpe(path, pattern)
-        return texts.map(lambda t: bpe.encode(t or ""))
+        return pd.Series(byte_bpe(path, pattern).encode_all(texts), dtype=object)
 
     column = F.pandas_udf(ids, "binary")(F.coalesce(F.col(text).cast("string"), F.lit("")))
     return df.withColumn(out, column).withColumn("n_tokens", (F.octet_length(out) / 4).cast("bigint"))

@@ -8,7 +8,7 @@ last tokens backwards gives the encoding of any prefix; a longer piece only adds
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 # Entries of one lot of a per-process memory; results do not depend on it.
 MEMO_ENTRIES = 300_000
@@ -23,14 +23,19 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
+        return self.put(key, self.compute(key) if value is None else value)
+
+    def put(self, key, value):
         if len(self) >= self.entries:
             self.older = dict(self)
             self.clear()
         self[key] = value
         return value
 
+    def unknown(self, keys: Iterable) -> list:
+        """Those of the keys that would have to be computed."""
+        return [k for k in keys if k not in self and k not in self.older]
+
 
 class PrefixBpe:
     """Encodings of pieces (sequences of one-symbol strings) for one merge table.
@@ -43,12 +48,12 @@ class PrefixBpe:
         self.rank = rank
         self.longest = max(map(len, tokens), default=1)
         self._origin: dict = {}
-        self._usable = Memo(lambda token: token in self.tokens and self.origin(token) is not None)
+        self._usable = Memo(lambda token: token in self.tokens and self.origin(token) is not None, MEMO_ENTRIES // 2)
         #: Length of the longest token by the two symbols at its end.
         self._reach: dict = {}
         for token in sorted(tokens, key=len):
             self._reach[token[-2:]] = len(token)
-        self._stable = Memo(self._beside)
+        self._stable = Memo(self._beside, MEMO_ENTRIES // 2)
 
     def merged(self, parts: list) -> tuple[list, tuple | None]:
         """The plain merge loop: join the best-ranked, leftmost pair until none is left.
@@ -127,6 +132,23 @@ class PrefixBpe:
     def table(self, piece) -> list:
         return self.extend(piece, [None])
 
+    def tables(self, pieces: Iterable) -> Iterator[tuple]:
+        """(piece, its table) of pieces in ascending order; what neighbours share at the start is kept.
+
+        The list is the same one each time: use it before the next is asked for.
+        """
+        last, before = [None], None
+        for piece in pieces:
+            if before is not None:
+                shared = 0
+                for a, b in zip(before, piece, strict=False):
+                    if a != b:
+                        break
+                    shared += 1
+                del last[shared + 1 :]
+            before = piece
+            yield piece, self.extend(piece, last)
+
     @staticmethod
     def backwards(last: Sequence, end: int) -> list:
         """Tokens of the prefix of length ``end``."""

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -74,41 +75,67 @@ class PrefixCounts:
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.normalise = Tokenizer.from_file(path).normalizer.normalize_str
         self.symbol = byte_symbols()
-        self.full = Memo(lambda piece: self.piece_prefixes(piece, whole_only=True)[-1])
-
-    def piece_prefixes(self, piece: str, whole_only: bool = False) -> list[int]:
-        """Tokens of the piece cut after its 1st, 2nd, ... character (or of the whole piece only)."""
-        symbols, ends = [], []
-        for char in piece:
-            symbols.extend(self.symbol[b] for b in char.encode())
-            ends.append(len(symbols))
-        text, core = "".join(symbols), self.core
-        if whole_only and text + core.MARK in core.tokens and core.stable(None, text + core.MARK):
-            return [1]
-        last = core.table(text)
-        open_counts = [0] * len(last)
-        for k in range(1, len(last)):
-            open_counts[k] = open_counts[k - len(last[k])] + 1
-        return [open_counts[core.closing(text, last, end)[0]] + 1 for end in (ends[-1:] if whole_only else ends)]
+        self.full = Memo(lambda piece: self.piece_prefixes(piece)[-1])
+
+    def shown(self, piece: str) -> str:
+        """The piece's bytes as symbols."""
+        return piece if piece.isascii() and piece.isprintable() else "".join(map(self.symbol.__getitem__, piece.encode()))
+
+    def closed(self, shown: str, last: list, end: int) -> int:
+        """Tokens of the first ``end`` symbols with the mark behind them."""
+        start, count = self.core.closing(shown, last, end)[0], 1
+        while start:
+            start -= len(last[start])
+            count += 1
+        return count
+
+    def piece_prefixes(self, piece: str) -> list[int]:
+        """Tokens of the piece cut after its 1st, 2nd, ... character."""
+        shown = self.shown(piece)
+        last = self.core.table(shown)
+        ends = np.cumsum([len(char.encode()) for char in piece]).tolist()
+        return [self.closed(shown, last, end) for end in ends]
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Count pieces that are not remembered, neighbours in order sharing their prefix entries."""
+        fresh = sorted((self.shown(p), p) for p in self.full.unknown(pieces))
+        for (shown, piece), (_, last) in zip(fresh, self.core.tables(s for s, _ in fresh), strict=True):
+            self.full.put(piece, self.closed(shown, last, len(shown)))
+
+    def normal(self, text: str) -> str:
+        """Normalised text; runs of white space may stay longer, which no piece shows."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.normalise(text)
+        return text.lower()  # these characters are composed already, and each has one lower-case form
 
     def pieces(self, text: str) -> list[str]:
         """Pieces in order; a special string is a piece of its own and always one token."""
         if self.cut is None or not any(s in text for s in self.special):
-            return self.pattern.findall(self.normalise(text))
+            return self.pattern.findall(self.normal(text))
         out, at = [], 0
         for match in self.cut.finditer(text):
-            out += self.pattern.findall(self.normalise(text[at : match.start()]))
+            out += self.pattern.findall(self.normal(text[at : match.start()]))
             out.append(match.group())
             at = match.end()
-        return out + self.pattern.findall(self.normalise(text[at:]))
+        return out + self.pattern.findall(self.normal(text[at:]))
 
     def counts(self, text: str) -> np.ndarray:
         """Exact token count after each piece."""
-        pieces = self.pieces(text)
-        if self.cut is None or not any(s in text for s in self.special):
-            return np.cumsum(np.fromiter(map(self.full.__getitem__, pieces), np.int64, len(pieces)))
-        each = [1 if p in self.special else self.full[p] for p in pieces]
-        return np.cumsum(np.array(each, np.int64))
+        return self.counts_all([text])[0]
+
+    def counts_all(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """``counts`` of every text."""
+        texts, known = list(texts), dict.fromkeys(self.special, 1)
+        split = [self.pieces(text) for text in texts]
+        self.learn(set().union(*split) - known.keys())
+        out = []
+        for text, pieces in zip(texts, split, strict=True):
+            special = any(s in text for s in known)
+            each = (known.get(p) or self.full[p] for p in pieces) if special else map(self.full.__getitem__, pieces)
+            out.append(np.cumsum(np.fromiter(each, np.int32, len(pieces)), dtype=np.int32))
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -142,8 +169,7 @@ def with_prefix_counts(df: DataFrame, path: str, text: str = "text", out: str =
     """Add ``out``: array<int>, the exact token count after each piece of the whole text."""
 
     def table(texts: pd.Series) -> pd.Series:
-        counter = prefix_counts(path)
-        return texts.map(lambda t: counter.counts(t or "").astype(np.int32))
+        return pd.Series(prefix_counts(path).counts_all(texts), dtype=object)
 
     return df.withColumn(out, F.pandas_udf(table, "array<int>")(F.coalesce(F.col(text).cast("string"), F.lit(""))))
 
