@@ -123,3 +123,17 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
     column = F.pandas_udf(back, "binary")(F.coalesce(F.col(ids), F.lit(b"")))
     return df.withColumn(out, column)
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the texts: adds ids, n_tokens and decoded."""
+
+    def both(texts: pd.Series) -> pd.DataFrame:
+        bpe = byte_bpe(path, pattern)
+        ids = bpe.encode_all(texts)
+        return pd.DataFrame({"ids": ids, "decoded": [bpe.decode(i) for i in ids]}, dtype=object)
+
+    coded = F.pandas_udf(both, "ids binary, decoded binary")(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    kept = [c for c in df.columns if c not in ("ids", "decoded", "n_tokens")]
+    found = df.withColumn("_coded", coded).select(*kept, "_coded.ids", "_coded.decoded")
+    return found.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))

@@ -78,7 +78,7 @@ def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, **byte_vocabulary()), **byte_vocabulary())
+    coded = byte_bpe.round_trip(docs, **byte_vocabulary())
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -100,7 +100,10 @@ def test_every_prefix_of_a_piece_has_its_own_encoding(bpe):
 def test_odd_rows_are_encoded(odd, none, reference):
     for r in byte_bpe.decode(byte_bpe.encode(odd, **VOCABULARY), **VOCABULARY).collect():
         assert bytes(r["ids"]) == packed(reference, r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode()
-    assert byte_bpe.encode(none, **VOCABULARY).count() == 0
+    both = byte_bpe.round_trip(odd, **VOCABULARY).select("ids", "decoded", "n_tokens").collect()
+    assert sorted(bytes(r["ids"]) for r in both) == sorted(packed(reference, r["text"] or "") for r in odd.collect())
+    assert all(bytes(r["decoded"]).decode() == reference.decode(np.frombuffer(r["ids"], "<u4").tolist()) for r in both)
+    assert byte_bpe.encode(none, **VOCABULARY).count() == byte_bpe.round_trip(none, **VOCABULARY).count() == 0
 
 
 @pytest.mark.parametrize("text", TEXTS)
