@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -58,6 +58,11 @@ class ByteBpe:
         self.learn(set().union(*split))
         return [b"".join(map(self.packed.__getitem__, pieces)) for pieces in split]
 
+    def forget(self) -> None:
+        """Free the memories: a worker process outlives the tasks that filled them."""
+        self.packed.forget()
+        self.core.forget()
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -107,8 +112,11 @@ class Encoding:
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out`` (binary: ids as little-endian unsigned 32-bit integers) and ``n_tokens``."""
 
-    def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series(byte_bpe(path, pattern).encode_all(texts), dtype=object)
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe = byte_bpe(path, pattern)
+        for texts in batches:
+            yield pd.Series(bpe.encode_all(texts), dtype=object)
+        bpe.forget()
 
     column = F.pandas_udf(ids, "binary")(F.coalesce(F.col(text).cast("string"), F.lit("")))
     return df.withColumn(out, column).withColumn("n_tokens", (F.octet_length(out) / 4).cast("bigint"))
@@ -128,10 +136,12 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``encode`` and ``decode`` in one pass over the texts: adds ids, n_tokens and decoded."""
 
-    def both(texts: pd.Series) -> pd.DataFrame:
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(path, pattern)
-        ids = bpe.encode_all(texts)
-        return pd.DataFrame({"ids": ids, "decoded": [bpe.decode(i) for i in ids]}, dtype=object)
+        for texts in batches:
+            ids = bpe.encode_all(texts)
+            yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(i) for i in ids]}, dtype=object)
+        bpe.forget()
 
     coded = F.pandas_udf(both, "ids binary, decoded binary")(F.coalesce(F.col(text).cast("string"), F.lit("")))
     kept = [c for c in df.columns if c not in ("ids", "decoded", "n_tokens")]

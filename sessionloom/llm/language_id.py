@@ -40,7 +40,7 @@ from ..session import materialised
 ORDER = 4
 SYMBOLS = 1 << 16
 MAX_GRAMS = 1_000_000
-COUNT_AT_ONCE = 2_000_000
+COUNT_AT_ONCE = 1_000_000
 SCORE_AT_ONCE = 500_000
 CALIBRATE_1_IN = 16
 REJECT_AT = 8.0

@@ -32,6 +32,10 @@ class Memo(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def unknown(self, keys: Iterable) -> list:
         """Those of the keys that would have to be computed."""
         return [k for k in keys if k not in self and k not in self.older]
@@ -48,12 +52,13 @@ class PrefixBpe:
         self.rank = rank
         self.longest = max(map(len, tokens), default=1)
         self._origin: dict = {}
-        self._usable = Memo(lambda token: token in self.tokens and self.origin(token) is not None, MEMO_ENTRIES // 2)
         #: Length of the longest token by the two symbols at its end.
         self._reach: dict = {}
         for token in sorted(tokens, key=len):
             self._reach[token[-2:]] = len(token)
-        self._stable = Memo(self._beside, MEMO_ENTRIES // 2)
+        self._stable = Memo(self._beside)
+        #: Tokens that the merges make.
+        self.usable = {token for token in tokens if self.origin(token) is not None}
 
     def merged(self, parts: list) -> tuple[list, tuple | None]:
         """The plain merge loop: join the best-ranked, leftmost pair until none is left.
@@ -101,34 +106,36 @@ class PrefixBpe:
                 left, limit = inner, made
             else:  # equal ranks are joined from the left, so the right one is the later
                 right, limit = outer, made_right + 1
-            self.origin(left), self.origin(right)
             crossing = self.rank(left, right)
             if crossing is not None and crossing < limit:
                 return False
 
     def stable(self, left, right) -> bool:
         """May ``right`` follow ``left`` (or start a piece: left None)?"""
-        return self.origin(right) is not None and (left is None or self._stable[left, right])
+        return right in self.usable and (left is None or self._stable[left, right])
 
     def extend(self, piece, last: list) -> list:
         """Entries of ``last`` for the prefixes of ``piece`` it does not cover yet.
 
         ``last[k]`` is the last token of the first k symbols (``last[0]`` is None).
         """
-        reach, origin, beside = self._reach, self._usable, self._stable
+        reach, usable, beside = self._reach, self.usable, self._stable
         for end in range(len(last), len(piece) + 1):
             start = end - 1 - len(last[-1] or "")  # the last token grown by one symbol is the likeliest
             token = piece[start:end]
-            if not (start < end - 1 and origin[token] and (not start or beside[last[start], token])):
+            if not (start < end - 1 and token in usable and (not start or beside[last[start], token])):
                 for start in range(max(0, end - reach.get(piece[end - 2 : end], 1)), end):
                     token = piece[start:end]
-                    if origin[token] and (not start or beside[last[start], token]):
+                    if token in usable and (not start or beside[last[start], token]):
                         break
                 else:
                     raise ValueError("a symbol is missing from the vocabulary")
             last.append(token)
         return last
 
+    def forget(self) -> None:
+        self._stable.forget()
+
     def table(self, piece) -> list:
         return self.extend(piece, [None])
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -168,8 +168,12 @@ class PrefixTable:
 def with_prefix_counts(df: DataFrame, path: str, text: str = "text", out: str = "prefix_counts") -> DataFrame:
     """Add ``out``: array<int>, the exact token count after each piece of the whole text."""
 
-    def table(texts: pd.Series) -> pd.Series:
-        return pd.Series(prefix_counts(path).counts_all(texts), dtype=object)
+    def table(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counter = prefix_counts(path)
+        for texts in batches:
+            yield pd.Series(counter.counts_all(texts), dtype=object)
+        counter.full.forget()  # a worker process outlives the tasks that filled its memories
+        counter.core.forget()
 
     return df.withColumn(out, F.pandas_udf(table, "array<int>")(F.coalesce(F.col(text).cast("string"), F.lit(""))))
 
