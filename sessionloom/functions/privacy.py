@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 
 from .numeric import as_col
 
-# Fallback salt and the columns anonymised by default.
-DEFAULT_SALT = "cross_device_pipeline_v1"
+# The columns anonymised by default.
 PII_COLUMNS = ["ip_prefix", "user_agent_hash", "device_fingerprint_hash"]
 
 _BLOCK = 64
 
 
 def default_salt() -> str:
-    return os.environ.get("HASH_SALT", DEFAULT_SALT)
+    """The key from HASH_SALT; there is no fallback, a known key protects nothing."""
+    salt = os.environ.get("HASH_SALT")
+    if not salt:
+        raise RuntimeError("set HASH_SALT or pass a salt")
+    return salt
 
 
 def hmac_pads(salt: str) -> tuple[str, str]:

@@ -17,7 +17,7 @@ from ..functions.numeric import at_least
 from ..schemas import FEATURE_COLS
 from ..session import ensure_checkpoint_dir, materialised
 from .evaluation import classification_metrics, confusion_matrix, roc_auc
-from .pairs import build_feature_matrix, number_pairs, sample_pairs, stratified_split
+from .pairs import build_feature_matrix, checked_pairs, number_pairs, require_known_sessions, sample_pairs, stratified_split
 
 
 def _random_forest(cfg: dict, n_rows: int) -> Estimator:
@@ -186,11 +186,22 @@ def load_model(path: str) -> PipelineModel:
 
 
 def predict_match(
-    pairs: DataFrame, sessions: DataFrame, model: PipelineModel, threshold: float = 0.50
+    pairs: DataFrame, sessions: DataFrame, model: PipelineModel, threshold: float = 0.50, strict: bool = True
 ) -> DataFrame:
-    """Score given id pairs: ``probability`` and boolean ``is_same_user``."""
+    """Score given id pairs: ``probability`` and boolean ``is_same_user``.
+
+    Ids that are missing or not unique raise KeyError; with ``strict=False`` every pair comes back
+    once, flagged, and such pairs have null results.
+    """
     ids = pairs.select("session_id_a", "session_id_b")
-    scored = score(build_feature_matrix(ids, sessions), model, threshold)
-    return scored.select(
+    if strict:
+        require_known_sessions(ids, sessions)
+        known = ids
+    else:
+        ids = ids.distinct()
+        checked = checked_pairs(ids, sessions)
+        known = checked.where("NOT unknown_session AND NOT ambiguous_session").select(*ids.columns)
+    scored = score(build_feature_matrix(known, sessions), model, threshold).select(
         "session_id_a", "session_id_b", "probability", (F.col("predicted_label") == 1).alias("is_same_user")
     )
+    return scored if strict else checked.join(scored, ["session_id_a", "session_id_b"], "left")

@@ -12,17 +12,14 @@ from ..functions.numeric import flag, round_half_up
 from ..functions.sampling import hash_key, hash_number
 from ..functions.vectors import cosine, jaccard, l2_norm, shared_count
 from ..schemas import DEVICE_PAIR_CODES, FEATURE_COLS, UNKNOWN_CODE
+from ..session import materialised
 from .features import fill_features
 from .ranking import rank_by_hash
 
 # Sessions per group in which neighbours are paired up.
 _GROUP_ROWS = 2048
-# Candidate attempts allowed per wanted negative.
-_MAX_ATTEMPTS = 10
 _US_PER_HOUR = 3.6e9
 HOURS = 24
-# Below this many sessions the number of accepted candidates is counted, not estimated.
-_COUNT_BELOW = 1_000_000
 
 PAIR_KEYS = ["label", "draw", "session_id_a", "session_id_b"]
 
@@ -82,24 +79,24 @@ def sampling_plan(sessions: DataFrame, n_per_user: int, ratio: float) -> dict[st
     total = int(row["sessions"])
     wanted = int(row["users"] * n_per_user * ratio)
     if total < 2 or wanted == 0:
-        return {"wanted": wanted, "draws": 0, "most": 0, "groups": 1, "total": total}
+        return {"wanted": wanted, "draws": 0, "groups": 1}
     groups = max(1, total // _GROUP_ROWS)
     accepted = 1.0 - float(row["same"]) / (float(total) * float(total))
     per_draw = max(total - groups, 1)
-    most = math.ceil(_MAX_ATTEMPTS * wanted / per_draw)
-    enough = math.ceil(1.25 * wanted / (per_draw * accepted)) + 1 if accepted > 0 else most
-    return {"wanted": wanted, "draws": min(enough, most), "most": most, "groups": groups, "total": total}
+    draws = math.ceil(1.25 * wanted / (per_draw * accepted)) + 1 if accepted > 0 else 0
+    return {"wanted": wanted, "draws": draws, "groups": groups}
 
 
-def negative_candidates(sessions: DataFrame, draws: int, groups: int, seed: int = 42) -> DataFrame:
+def negative_candidates(sessions: DataFrame, draws: range, groups: int, seed: int = 42) -> DataFrame:
     """Random session pairs of different users.
 
     Per draw every session lands in a random, evenly filled group and is paired with its
     neighbour in hash order, so candidates cost one shuffle and no cross join.
     """
-    replicated = sessions.select(
-        "session_id", "user_id_hash", F.explode(F.array(*[F.lit(d) for d in range(draws)])).alias("draw")
-    ).withColumn("h", hash_key("neg", seed, F.col("draw"), F.col("session_id")))
+    numbers = F.sequence(F.lit(draws.start), F.lit(draws.stop - 1))
+    replicated = sessions.select("session_id", "user_id_hash", F.explode(numbers).alias("draw")).withColumn(
+        "h", hash_key("neg", seed, F.col("draw"), F.col("session_id"))
+    )
     grouped = replicated.withColumn("g", F.pmod(hash_number("h"), F.lit(groups)))
     order = W.partitionBy("draw", "g").orderBy("h", "session_id")
     return (
@@ -110,35 +107,45 @@ def negative_candidates(sessions: DataFrame, draws: int, groups: int, seed: int
     )
 
 
-def _enough_draws(sessions: DataFrame, plan: dict[str, int], seed: int) -> int:
-    """Draws that really give the wanted number, up to the attempt limit.
+def _accepted_candidates(sessions: DataFrame, plan: dict[str, int], seed: int) -> DataFrame:
+    """At least the wanted number of candidates, whatever the size of the table.
 
-    The planned margin (a quarter and one draw) cannot fall short on large tables; on small
-    ones, where chance matters, the accepted candidates are counted.
+    The first draws are planned from the acceptance rate. Their pairs are written and counted; while
+    they are too few, as many draws again are added. Two users are enough for every draw to have a
+    chance, so this ends.
     """
-    draws = plan["draws"]
-    if plan["total"] >= _COUNT_BELOW:
-        return draws
-    while draws < plan["most"] and negative_candidates(sessions, draws, plan["groups"], seed).count() < plan["wanted"]:
-        draws = min(2 * draws, plan["most"])
-    return draws
+    draws = range(plan["draws"])
+    found = materialised(negative_candidates(sessions, draws, plan["groups"], seed), "negatives")
+    while found.count() < plan["wanted"]:
+        draws = range(draws.stop, 2 * draws.stop)
+        more = materialised(negative_candidates(sessions, draws, plan["groups"], seed), "negatives")
+        found = found.unionByName(more)
+    return found
 
 
 def negative_pairs(
     sessions: DataFrame, n_per_user: int = 3, ratio: float = 1.5, seed: int = 42, plan: dict[str, int] | None = None
 ) -> DataFrame:
-    """Exactly ``int(positives * ratio)`` different-user pairs (fewer only if attempts run out)."""
+    """Exactly ``int(positives * ratio)`` different-user pairs; none if all sessions are one user's."""
     plan = plan or sampling_plan(sessions, n_per_user, ratio)
     if plan["draws"] == 0:
         return positive_pairs(sessions, 1, seed).where(F.lit(False))
-    draws = _enough_draws(sessions, plan, seed)
-    candidates = negative_candidates(sessions, draws, plan["groups"], seed).withColumn(
+    candidates = _accepted_candidates(sessions, plan, seed).withColumn(
         "_key", hash_key("pick", seed, F.col("draw"), F.col("session_id_a"), F.col("session_id_b"))
     )
     kept = rank_by_hash(candidates, "_key", ["session_id_a", "session_id_b"], first=plan["wanted"], rank="_rank")
     return kept.drop("_key", "_rank")
 
 
+def negative_shortfall(
+    sessions: DataFrame, n_per_user: int = 3, ratio: float = 1.5, seed: int = 42
+) -> DataFrame:
+    """One row: negatives wanted and found. They differ only where one user owns every session."""
+    plan = sampling_plan(sessions, n_per_user, ratio)
+    pairs = negative_pairs(sessions, n_per_user, ratio, seed, plan)
+    return pairs.agg(F.lit(plan["wanted"]).cast("bigint").alias("wanted"), F.count(F.lit(1)).alias("found"))
+
+
 def sample_pairs(
     sessions: DataFrame, n_pos_per_user: int = 3, neg_pos_ratio: float = 1.5, seed: int = 42
 ) -> DataFrame:
@@ -299,6 +306,19 @@ def pair_integrity(pairs: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
+def checked_pairs(pairs: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Every pair once, with ``unknown_session`` (an end names no session) and ``ambiguous_session``
+    (an end names several)."""
+    copies = sessions.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    ends = [copies.select(F.col("session_id").alias(f"session_id_{e}"), F.col("n").alias(f"_n_{e}")) for e in "ab"]
+    met = pairs.join(ends[0], "session_id_a", "left").join(ends[1], "session_id_b", "left")
+    return met.select(
+        *pairs.columns,
+        (F.col("_n_a").isNull() | F.col("_n_b").isNull()).alias("unknown_session"),
+        (F.coalesce("_n_a", F.lit(1)) + F.coalesce("_n_b", F.lit(1)) > 2).alias("ambiguous_session"),
+    )
+
+
 def require_known_sessions(pairs: DataFrame, sessions: DataFrame) -> None:
     """Raise KeyError when a pair names a session that is missing or not unique."""
     found = pair_integrity(pairs, sessions).first()

@@ -276,20 +276,21 @@ def session_browser(
 ) -> DataFrame:
     """Up to n sessions with the display columns that exist, long category text shortened.
 
-    ``condition`` and ``order`` apply to the shown rows. ``after`` continues behind a session
-    id (keyset paging) and implies ordering by session id.
+    ``condition`` applies to the whole table. The n shown are the first in ``order``, or a seeded
+    sample without one. ``after`` continues behind a session id (keyset paging over all rows that
+    match) and implies ordering by session id.
     """
-    shown = sample_rows(sessions, n, "session_id", seed=0, tag="browse")
+    shown = sessions if condition is None else sessions.where(condition)
+    if after is not None:
+        shown = shown.where(F.col("session_id") > after).orderBy("session_id").limit(n)
+    elif order:
+        shown = shown.orderBy(*order).limit(n)
+    else:
+        shown = sample_rows(shown, n, "session_id", seed=0, tag="browse")
     shown = keep_columns(shown, BROWSER_COLUMNS)
     if "content_categories" in shown.columns:
         text = F.col("content_categories")
         if dict(shown.dtypes)["content_categories"] != "string":
             text = array_to_json(text)
         shown = shown.withColumn("content_categories", truncate(text, 40))
-    if condition is not None:
-        shown = shown.where(condition)
-    if after is not None:
-        shown = shown.where(F.col("session_id") > after).orderBy("session_id")
-    elif order:
-        shown = shown.orderBy(*order)
     return shown.limit(page_size) if page_size else shown

@@ -23,7 +23,8 @@ from ..schemas import FEATURE_COLS
 from ..session import shared_dir
 from ..sources import tables as tb
 from ..sources.events import activity_histogram
-from .workspace import Workspace
+from .job import STORED_PII
+from .workspace import TEST_SALT, Workspace
 
 # Smaller fits for the catalogue; the library defaults stay as they are.
 _SMALL_TREES = {"xgb_params": {"n_estimators": 20}}
@@ -56,9 +57,10 @@ def bounded_scan(w: Workspace) -> DataFrame:
 
 
 def csv_round_trip(w: Workspace) -> DataFrame:
-    """CSV sink and source: the sample written with header and read back under the contract."""
+    """CSV sink and source: the whole table, with line breaks in its text, written and read back."""
     path = shared_dir(w.spark, "csv")
-    tb.save_sample(w.contract_sessions(), path)
+    broken = F.concat("interaction_text", F.lit("\nback\\slash\r"))
+    tb.write_csv(w.contract_sessions().withColumn("interaction_text", broken), path)
     return tb.read_sessions_csv(w.spark, path).select(
         "session_id", "device_type", _micros("session_start"), "session_duration_s", "scroll_depth_avg",
         F.array_join("content_categories", ",").alias("content_categories"),
@@ -158,10 +160,10 @@ def agent_hash(w: Workspace) -> DataFrame:
 
 
 def keyed_hash(w: Workspace) -> DataFrame:
-    """HMAC of several columns, with the default and with a long salt."""
+    """HMAC of several columns, with a short and with a long salt."""
     return w.sessions().select(
         "session_id",
-        hmac_sha256("ip_prefix", "cross_device_pipeline_v1").alias("prefix_hmac"),
+        hmac_sha256("ip_prefix", TEST_SALT).alias("prefix_hmac"),
         hmac_sha256("session_duration_s", "s" * 80).alias("duration_hmac"),
     )
 
@@ -172,8 +174,8 @@ def document_hash(w: Workspace) -> DataFrame:
 
 
 def anonymised_sessions(w: Workspace) -> DataFrame:
-    return anonymise(w.contract_sessions(), salt="cross_device_pipeline_v1").select(
-        "session_id", "user_id_hash", "ip_prefix", "user_agent_hash", "device_fingerprint_hash", "device_type"
+    return anonymise(w.contract_sessions(), STORED_PII, TEST_SALT).select(
+        "session_id", "user_id_hash", *STORED_PII, "device_type"
     )
 
 
@@ -203,6 +205,19 @@ def negative_pairs(w: Workspace) -> DataFrame:
     return pr.negative_pairs(w.sessions())
 
 
+def negative_shortfall(w: Workspace) -> DataFrame:
+    """Negatives wanted and found."""
+    return pr.negative_shortfall(w.sessions())
+
+
+def checked_pairs(w: Workspace) -> DataFrame:
+    """Id pairs against sessions, some ids being unknown and some sessions stored twice."""
+    sessions = w.sessions().select("session_id", "scroll_depth_avg")
+    twice = sessions.unionByName(sessions.where("scroll_depth_avg > 0.9"))
+    strange = F.when((F.col("label") == 0) & (F.col("draw") == 0), F.concat(F.lit("no such "), F.col("session_id_b")))
+    return pr.checked_pairs(w.pairs().withColumn("session_id_b", F.coalesce(strange, "session_id_b")), twice)
+
+
 def sampled_pairs(w: Workspace) -> DataFrame:
     return pr.sample_pairs(w.sessions())
 
@@ -549,7 +564,7 @@ _QUERIES = [
     session_quality, pair_quality, enriched_quality, segment_quality,
     session_features, activity_hours, session_hours, document_clean_text, network_prefix, json_edges, agent_hash,
     keyed_hash, document_hash, anonymised_sessions, hash_audit,
-    eligible_users, positive_pairs, negative_pairs, sampled_pairs, numbered_split, pair_features, pair_integrity,
+    eligible_users, positive_pairs, negative_pairs, negative_shortfall, checked_pairs, sampled_pairs, numbered_split, pair_features, pair_integrity,
     identity_pairs, classification_metrics, roc_auc, confusion_matrix, classification_report,
     roc_points, precision_recall_points, threshold_sweep, identity_graph_stats,
     random_forest, boosted_trees, logistic_regression, model_scored_pairs, feature_importance, saved_model_scores,

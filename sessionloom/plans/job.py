@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import make_config
-from ..functions.privacy import anonymise
+from ..functions.privacy import PII_COLUMNS, anonymise
 from ..operators.features import session_features
 from ..operators.matching import IdentityResult, save_model, train_identity_model
 from ..operators.segments import SegmentationResult, label_segments, run_segmentation
@@ -32,6 +32,10 @@ class JobResult:
     summary: DataFrame
 
 
+# Columns that reach storage as keyed digests only.
+STORED_PII = [*PII_COLUMNS, "ip_prefix_hash"]
+
+
 class TableStore:
     """Named tables: in the catalog when a database is given, else as parquet in one folder."""
 
@@ -58,17 +62,19 @@ def run(
     store: TableStore | None = None,
     model_path: str | None = None,
     run_name: str = "run",
+    salt: str | None = None,
 ) -> JobResult:
     """Run every step and write its tables; each table is read back, so later steps start from files.
 
-    Stored tables are anonymised: the true user id and raw network prefix do not reach storage.
+    Stored tables are anonymised with ``salt`` (default: HASH_SALT): the true user id, the raw network
+    prefix and its plain digest, which has few enough values to be guessed, do not reach storage.
     With a catalog store the sessions table is bucketed by session id, and both pair joins
     read it without a shuffle.
     """
     configure(spark)
     cfg = make_config(cfg)
     store = store or TableStore(spark)
-    featured = anonymise(session_features(raw_sessions))
+    featured = anonymise(session_features(raw_sessions), STORED_PII, salt)
     buckets = cfg["storage"]["session_buckets"] or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sessions = store.save(featured, "sessions", "session_id", buckets)
     tables = {"sessions": sessions, "dataset_profile": dataset_profile(sessions)}

@@ -119,8 +119,8 @@ totals AS (SELECT CAST(sum(n) AS BIGINT) AS total, count(*) FILTER (n >= 2) AS u
                   sum(n::DOUBLE * n::DOUBLE) AS same FROM per_user),
 sizes AS (SELECT CAST(floor(users * 3 * 1.5::DOUBLE) AS BIGINT) AS wanted, greatest(1, total // 2048) AS groups,
                  1 - same / (total::DOUBLE * total::DOUBLE) AS accepted, total FROM totals),
-planned AS (SELECT wanted, groups, least(CAST(ceil(1.25 * wanted / (greatest(total - groups, 1) * accepted)) AS BIGINT) + 1,
-                   CAST(ceil(10.0 * wanted / greatest(total - groups, 1)) AS BIGINT)) AS draws FROM sizes),
+planned AS (SELECT wanted, groups,
+                   CAST(ceil(1.25 * wanted / (greatest(total - groups, 1) * accepted)) AS BIGINT) + 1 AS draws FROM sizes),
 neg_keys AS (SELECT session_id, user_id_hash, CAST(d.range AS INTEGER) AS draw, groups,
                     md5('neg|42|' || d.range || '|' || session_id) AS h
              FROM sessions CROSS JOIN planned CROSS JOIN range(100) d WHERE d.range < draws),
@@ -305,10 +305,11 @@ FROM sessions""")
     q["bounded_scan"] = _with(
         ["sessions"], _sample("session_id, device_type, session_duration_s", "sessions", "scan", 0, 20000)
     )
-    q["csv_round_trip"] = _with(["sessions"], _sample(
-        f"session_id, device_type, {_STAMP}, session_duration_s, scroll_depth_avg, array_to_string(content_categories, ',') "
-        "AS content_categories, CAST(len(active_hours_profile) AS INTEGER) AS n_hours, interaction_text",
-        "sessions", "sample", 42, 5000))
+    q["csv_round_trip"] = _with(["sessions"],
+        f"SELECT session_id, device_type, {_STAMP}, session_duration_s, scroll_depth_avg, "
+        "array_to_string(content_categories, ',') AS content_categories, "
+        "CAST(len(active_hours_profile) AS INTEGER) AS n_hours, "
+        "interaction_text || chr(10) || 'back\\slash' || chr(13) AS interaction_text FROM sessions")
     q["table_round_trip"] = _with(["sessions"], "SELECT device_type, count(*) AS n_sessions FROM sessions GROUP BY ALL")
     q["session_quality"] = _with(["sessions"], _violations("sessions", {
         "session_id_null": "session_id IS NULL",
@@ -360,12 +361,12 @@ SELECT session_id, {_JSON_LIST} AS categories_json, CAST(len(content_categories)
     q["agent_hash"] = _with(["sessions"], """
 SELECT browser, os, count(*) AS n_sessions, sha256(browser || ' ' || os) AS agent_hash FROM sessions GROUP BY ALL""")
     q["keyed_hash"] = _with(["sessions"], f"""
-SELECT session_id, {_hmac("ip_prefix", "cross_device_pipeline_v1")} AS prefix_hmac,
+SELECT session_id, {_hmac("ip_prefix", "pepper")} AS prefix_hmac,
        {_hmac("CAST(session_duration_s AS VARCHAR)", "s" * 80)} AS duration_hmac FROM sessions""")
     q["document_hash"] = f"SELECT doc_id, {_hmac('text', 'salt')} AS text_hmac FROM documents"
     q["anonymised_sessions"] = _with(["sessions"], "SELECT session_id, user_id_hash, " + ", ".join(
-        f"{_hmac(c, 'cross_device_pipeline_v1')} AS {c}"
-        for c in ("ip_prefix", "user_agent_hash", "device_fingerprint_hash")) + ", device_type FROM sessions")
+        f"{_hmac(c, 'pepper')} AS {c}"
+        for c in ("ip_prefix", "user_agent_hash", "device_fingerprint_hash", "ip_prefix_hash")) + ", device_type FROM sessions")
     q["hash_audit"] = _with(["sessions"], """
 SELECT device_type, count(*) AS n_valid, count(*) FILTER (device_type = 'mobile') AS n_tampered_valid,
        count(*) AS n_sessions FROM sessions GROUP BY device_type""")
@@ -374,6 +375,12 @@ SELECT device_type, count(*) AS n_valid, count(*) FILTER (device_type = 'mobile'
 SELECT user_id_hash, count(*) AS n_sessions FROM sessions GROUP BY user_id_hash HAVING count(*) >= 2""")
     q["positive_pairs"] = _with(["positives"], "SELECT * FROM positives")
     q["negative_pairs"] = _with(["negatives"], "SELECT * FROM negatives")
+    q["negative_shortfall"] = _with(["negatives"], "SELECT (SELECT wanted FROM planned) AS wanted, count(*) AS found FROM negatives")
+    q["checked_pairs"] = _with(["pairs"], """
+SELECT session_id_a, CASE WHEN label = 0 AND draw = 0 THEN 'no such ' || session_id_b ELSE session_id_b END AS session_id_b,
+       label, draw, label = 0 AND draw = 0 AS unknown_session,
+       a.scroll_depth_avg > 0.9 OR (b.scroll_depth_avg > 0.9 AND NOT (label = 0 AND draw = 0)) AS ambiguous_session
+FROM pairs JOIN sessions a ON a.session_id = session_id_a JOIN sessions b ON b.session_id = session_id_b""")
     q["sampled_pairs"] = _with(["pairs"], "SELECT * FROM pairs")
     q["numbered_split"] = _with(["split_pairs"], "SELECT * FROM split_pairs")
     q["pair_features"] = _with(
@@ -542,7 +549,8 @@ SELECT device_type, CAST(least(floor((session_duration_s - lo) / greatest((hi -
     q["session_browser"] = _with(["enriched"], f"""
 SELECT session_id, device_type, os, browser, session_duration_s, pages_visited, click_count, scroll_depth_avg,
        {_short("cats")} AS content_categories, segment_id
-FROM (SELECT *, {_JSON_LIST} AS cats FROM ({_sample("*", "enriched", "browse", 0, 5000)})) WHERE pages_visited >= 2""")
+FROM (SELECT *, {_JSON_LIST} AS cats FROM (SELECT * FROM enriched WHERE pages_visited >= 2
+      ORDER BY session_duration_s DESC, session_id LIMIT 5000))""")
 
     q["dataset_profile"] = _with(["sessions"], """
 SELECT 'sessions_n_rows' AS metric, count(*) AS value FROM sessions

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,17 +61,40 @@ def _to_csv_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(edges) if edges else df
 
 
+# Line breaks in text, and the mark itself, become two characters: files stay one row a line and splittable.
+_BREAKS = {"\\": "\\e", "\n": "\\n", "\r": "\\r"}
+
+
+def escape_breaks(text: Column) -> Column:
+    for plain, coded in _BREAKS.items():
+        text = F.replace(text, F.lit(plain), F.lit(coded))
+    return text
+
+
+def unescape_breaks(text: Column) -> Column:
+    for plain, coded in reversed(_BREAKS.items()):
+        text = F.replace(text, F.lit(coded), F.lit(plain))
+    return text
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    _to_csv_columns(df).write.mode("overwrite").csv(path, header=True, escape='"', nullValue="")
+    """CSV with header; line breaks in text are escaped (``escape_breaks``)."""
+    texts = {f.name: escape_breaks(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    _to_csv_columns(df.withColumns(texts) if texts else df).write.mode("overwrite").csv(path, header=True, escape='"', nullValue="")
 
 
 def read_sessions_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = False,
+    escaped: bool = True,
 ) -> DataFrame:
     """Sessions from CSV with header: columns are matched by name and cast to the contract.
 
-    Array columns arrive as JSON text; a value that does not parse becomes null. Set
-    ``multi_line`` for files with line breaks inside quotes (such files cannot be split).
+    Array columns arrive as JSON text; a value that does not parse becomes null. Files of ``write_csv``
+    have their line breaks escaped; for files of others set ``escaped=False``, and ``multi_line`` where
+    they hold line breaks inside quotes (such files cannot be split).
     """
     wanted = schema or SESSIONS_SCHEMA
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multi_line)
@@ -88,6 +110,8 @@ def read_sessions_csv(
             col = F.try_to_timestamp(col)
         elif not isinstance(field.dataType, T.StringType):
             col = col.try_cast(field.dataType)
+        elif escaped:
+            col = unescape_breaks(col)
         columns.append(col.alias(field.name))
     return raw.select(*columns)
 
@@ -117,23 +141,21 @@ def load_report_tables(
     sessions_table: str = "sessions",
     segments_table: str = "audience_segments",
     sample_csv: str | None = None,
-    limit: int = 20_000,
+    limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Sessions (bounded) and segments for reports.
+    """Sessions (all, or a bounded scan with ``limit``) and segments for reports.
 
-    Falls back to the CSV sample when the sessions table is missing; segments are optional
-    and empty when missing, or when the sample is used.
+    Falls back to the CSV sample, if one is named, when the sessions table is missing; a named sample
+    that cannot be read raises. Segments are optional and empty when missing, or when the sample is used.
     """
     no_segments = spark.createDataFrame([], SEGMENTS_SCHEMA)
     if table_exists(spark, sessions_table):
-        sessions = bounded_scan(spark.table(sessions_table), limit)
+        sessions = spark.table(sessions_table)
+        sessions = sessions if limit is None else bounded_scan(sessions, limit)
         segments = spark.table(segments_table) if table_exists(spark, segments_table) else no_segments
         return sessions, segments
     if sample_csv is not None:
-        try:
-            return read_sessions_csv(spark, sample_csv), no_segments
-        except AnalysisException:
-            pass
+        return read_sessions_csv(spark, sample_csv), no_segments
     return spark.createDataFrame([], RAW_SESSIONS_SCHEMA), no_segments
 
 

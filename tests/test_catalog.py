@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import SF_DIR, assert_no_all_pairs_join, assert_same, duck
+from sessionloom.plans.catalog import all_queries
+from sessionloom.plans.oracle import all_oracles
 
-QUERIES, EXPECTED = driver.queries(), driver.oracle_sql()
+QUERIES, EXPECTED = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,8 @@ def con():
 
 
 def test_every_expected_result_has_a_query():
-    assert set(EXPECTED) <= set(QUERIES)
+    assert set(EXPECTED) <= set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(EXPECTED))

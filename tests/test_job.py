@@ -21,7 +21,7 @@ CFG = {
 
 @pytest.fixture(scope="module")
 def full(spark, workspace):
-    return run(spark, workspace.contract_sessions(), CFG, store=TableStore(spark), model_path=shared_dir(spark, "m"))
+    return run(spark, workspace.contract_sessions(), CFG, store=TableStore(spark), model_path=shared_dir(spark, "m"), salt="s")
 
 
 def test_tables_meet_their_contracts(full):
@@ -62,7 +62,7 @@ def test_skip_text_in_a_catalog(spark, workspace):
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
     try:
         result = run(
-            spark, workspace.contract_sessions(), CFG, skip_nlp=True, store=TableStore(spark, database, f"{folder}/x")
+            spark, workspace.contract_sessions(), CFG, skip_nlp=True, store=TableStore(spark, database, f"{folder}/x"), salt="s"
         )
         assert result.segmentation is None and "audience_segments" not in result.tables
         assert result.summary.first()["n_segments"] is None

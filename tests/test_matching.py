@@ -73,7 +73,7 @@ def test_estimator_defaults():
     assert mt.build_estimator("logistic_regression", n_rows=50).getRegParam() == 0.02
 
 
-def test_save_load_predict(workspace, sessions, features, tmp_path):
+def test_save_load_predict(spark, workspace, sessions, features, tmp_path):
     model = mt.fit_on(features, "random_forest", SMALL)
     path = str(tmp_path / "model")
     mt.save_model(model, path)
@@ -84,3 +84,8 @@ def test_save_load_predict(workspace, sessions, features, tmp_path):
     after = mt.predict_match(pairs, sessions, mt.load_model(path), 0.7).orderBy(*ids).collect()
     assert before == after and len(before) == 20
     assert all(r["is_same_user"] == (r["probability"] >= 0.7) for r in before)
+    strange = pairs.select(*ids).distinct().limit(3).union(spark.createDataFrame([("no", "one")], ids))
+    with pytest.raises(KeyError):
+        mt.predict_match(strange, sessions, model)
+    flagged = mt.predict_match(strange, sessions, model, strict=False).collect()
+    assert len(flagged) == 4 and [r["session_id_a"] for r in flagged if r["probability"] is None] == ["no"]

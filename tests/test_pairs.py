@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import assert_no_all_pairs_join, make_sessions, plan_text
 from sessionloom.operators.pairs import (
     build_feature_matrix, build_pair_features, negative_pairs, number_pairs, pair_integrity, positive_pairs,
-    require_known_sessions, sample_pairs, sampling_plan, stratified_split,
+    checked_pairs, negative_shortfall, require_known_sessions, sample_pairs, sampling_plan, stratified_split,
 )
 from sessionloom.schemas import DEVICE_CODES, DEVICE_PAIR_CODES, FEATURE_COLS
 
@@ -69,6 +69,21 @@ def test_tiny_tables_reach_the_target_when_possible(spark):
     assert negative_pairs(make_sessions(spark, [{}]), 3, 1.5).count() == 0
 
 
+def test_one_user_with_nearly_all_sessions_still_reaches_the_target(spark):
+    df = make_sessions(spark, [{"user_id_hash": "hot" if i < 400 else f"u{i // 2}"} for i in range(408)])
+    row = negative_shortfall(df).first()
+    assert row["wanted"] == row["found"] == 22
+    alone = make_sessions(spark, [{"user_id_hash": "only"}] * 5)
+    assert tuple(negative_shortfall(alone).first()) == (4, 0)
+
+
+def test_unknown_and_repeated_ids_are_flagged_once(spark):
+    sessions = make_sessions(spark, [{}, {}, {"session_id": "twice"}, {"session_id": "twice"}])
+    pairs = spark.createDataFrame([("s0", "s1"), ("s0", "gone"), ("twice", "s1"), ("gone", "twice")], "session_id_a string, session_id_b string")
+    got = {tuple(r) for r in checked_pairs(pairs, sessions).collect()}
+    assert got == {("s0", "s1", False, False), ("s0", "gone", True, False), ("twice", "s1", False, True), ("gone", "twice", True, True)}
+
+
 def test_split_is_exact_per_label(sessions):
     pairs = sample_pairs(sessions)
     split = stratified_split(pairs, 0.2)

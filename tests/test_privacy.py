@@ -1,6 +1,7 @@
 import hashlib
 import hmac
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import make_sessions
@@ -29,12 +30,15 @@ def test_null_stays_null_and_numbers_hash_as_text(spark):
 
 
 def test_default_salt_comes_from_environment(spark, monkeypatch):
+    monkeypatch.delenv("HASH_SALT", raising=False)
+    with pytest.raises(RuntimeError):
+        hmac_sha256(F.lit("a"))
     monkeypatch.setenv("HASH_SALT", "other")
     assert spark.range(1).select(hmac_sha256(F.lit("a"))).first()[0] == _python("a", "other")
 
 
 def test_column_hash_is_deterministic(spark):
-    got = [r[0] for r in spark.createDataFrame([("a",), ("b",), ("a",)], "v string").select(hmac_sha256("v")).collect()]
+    got = [r[0] for r in spark.createDataFrame([("a",), ("b",), ("a",)], "v string").select(hmac_sha256("v", "s")).collect()]
     assert got[0] == got[2] != got[1]
 
 

@@ -48,14 +48,14 @@ def test_bucketed_table_joins_without_shuffling_sessions(spark, workspace, name,
 def test_csv_round_trip(spark, tmp_path):
     df = make_sessions(
         spark,
-        [{"interaction_text": 'say "hi", | then\nleave', "content_categories": ["a,b", 'q"q']}, {"os": None, "content_categories": []}],
+        [{"interaction_text": 'say "hi", | then\nleave \\n\r\\e', "content_categories": ["a,b", 'q"q']}, {"os": None, "content_categories": []}],
     )
     path = str(tmp_path / "csv")
     tb.save_sample(df, path)
-    back = tb.read_sessions_csv(spark, path, multi_line=True)
+    back = tb.read_sessions_csv(spark, path)
     assert back.columns == df.columns and dict(back.dtypes) == dict(df.dtypes)
     rows = {r["session_id"]: r for r in back.collect()}
-    assert rows["s0"]["interaction_text"] == 'say "hi", | then\nleave'
+    assert rows["s0"]["interaction_text"] == 'say "hi", | then\nleave \\n\r\\e'
     assert rows["s0"]["content_categories"] == ["a,b", 'q"q'] and rows["s1"]["content_categories"] == []
     assert rows["s1"]["os"] is None and rows["s0"]["session_start"] == df.first()["session_start"]
     assert rows["s0"]["active_hours_profile"] == [1.0] + [0.0] * 23
@@ -73,11 +73,14 @@ def test_fallback_order(spark, sessions, name, tmp_path):
     tb.save_sample(sessions.drop("first_event_id"), csv, n=25)
     from_csv, segments = tb.load_report_tables(spark, name, "no_segments", csv)
     assert from_csv.count() == 25 and segments.count() == 0 and segments.schema == SEGMENTS_SCHEMA
-    nothing, _ = tb.load_report_tables(spark, name, "no_segments", str(tmp_path / "absent"))
+    nothing, _ = tb.load_report_tables(spark, name, "no_segments")
     assert nothing.count() == 0
+    with pytest.raises(AnalysisException):
+        tb.load_report_tables(spark, name, "no_segments", str(tmp_path / "absent"))
     tb.write_table(sessions, name, path=str(tmp_path / "t"))
     from_table, _ = tb.load_report_tables(spark, name, "no_segments", csv, limit=40)
     assert from_table.count() == 40
+    assert tb.load_report_tables(spark, name, "no_segments", csv)[0].count() == sessions.count()
 
 
 def test_views_answer_plain_sql(spark, workspace):
@@ -117,6 +120,8 @@ def test_browser_paging(workspace):
     ids = [r["session_id"] for r in first + second]
     assert len(set(ids)) == 20 and ids == sorted(ids)
     assert "interaction_text" not in first[0].asDict()
+    few = enriched.where("pages_visited >= 2").count()
+    assert rp.session_browser(enriched, n=10, condition="pages_visited >= 2").count() == min(10, few)
     assert "segment_id" not in rp.session_browser(workspace.sessions(), n=5).columns
 
 
