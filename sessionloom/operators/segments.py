@@ -23,10 +23,6 @@ from ..session import spread
 from .ranking import sample_rows
 from .textsignals import unit_features
 
-SEARCH_SAMPLE = 10_000
-SEARCH_SCORED = 5_000
-FINAL_SCORED = 10_000
-
 
 def subsample(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     """Exactly min(n, N) rows without replacement, keyed by id."""
@@ -36,10 +32,12 @@ def subsample(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
 # -- silhouette ---------------------------------------------------------------------
 
 
-def point_silhouettes(points: DataFrame, id_col: str, vector_col: str, cluster_col: str) -> DataFrame:
+def point_silhouettes(
+    points: DataFrame, id_col: str, vector_col: str, cluster_col: str, most: int = 10_000
+) -> DataFrame:
     """Exact Euclidean silhouette of every point of a bounded sample.
 
-    ``points`` must be a sample (at most ``FINAL_SCORED`` rows): it is shipped to the
+    ``points`` must be a sample (at most ``most`` rows): it is shipped to the
     executors once and each partition measures its own points against it, so no pair of
     points is ever a row.
     """
@@ -47,9 +45,9 @@ def point_silhouettes(points: DataFrame, id_col: str, vector_col: str, cluster_c
     is_array = dict(points.dtypes)[vector_col].startswith("array")
     values = F.col(vector_col).cast("array<double>") if is_array else vector_to_array(vector_col)
     points = points.select(id_col, values.alias("v"), F.col(cluster_col).cast("int").alias("c"))
-    local = points.select("v", "c").limit(FINAL_SCORED + 1).toPandas()
-    if len(local) > FINAL_SCORED:
-        raise ValueError(f"silhouette needs a sample of at most {FINAL_SCORED} points")
+    local = points.select("v", "c").limit(most + 1).toPandas()
+    if len(local) > most:
+        raise ValueError(f"silhouette needs a sample of at most {most} points")
     schema = f"{id_col} {dict(points.dtypes)[id_col]}, silhouette double"
     if len(local) == 0:
         return spark.createDataFrame([], schema)
@@ -89,18 +87,26 @@ def mean_silhouette(
     id_col: str,
     vector_col: str = "embedding",
     cluster_col: str = "segment_id",
-    sample_size: int = FINAL_SCORED,
+    sample_size: int = 10_000,
     seed: int = 42,
 ) -> DataFrame:
-    """One row (silhouette, n_points): exact mean over a seeded sample of at most ``sample_size`` points."""
+    """One row (silhouette, n_points): mean Euclidean silhouette of a seeded sample of ``sample_size`` points.
+
+    Every point of the sample is measured against every other; ``squared_silhouette`` takes all rows.
+    """
     sample = subsample(df.select(id_col, vector_col, cluster_col), sample_size, id_col, seed)
-    return point_silhouettes(sample, id_col, vector_col, cluster_col).agg(
+    return point_silhouettes(sample, id_col, vector_col, cluster_col, sample_size).agg(
         F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("n_points")
     )
 
 
 def squared_silhouette(df: DataFrame, features_col: str = "features", cluster_col: str = "segment_id") -> float:
-    """Silhouette over *all* rows with squared Euclidean distance: linear cost, another number."""
+    """Silhouette over all rows with squared Euclidean distance, from per-cluster sums: linear cost.
+
+    0 where there are fewer than two clusters.
+    """
+    if df.select(cluster_col).distinct().limit(2).count() < 2:
+        return 0.0
     return ClusteringEvaluator(
         featuresCol=features_col, predictionCol=cluster_col, metricName="silhouette"
     ).evaluate(df)
@@ -150,24 +156,25 @@ def find_best_k(
     id_col: str,
     vector_col: str = "embedding",
     seed: int = 42,
-    sample_size: int = SEARCH_SAMPLE,
+    sample_size: int | None = None,
     restarts: int = 5,
     max_iter: int = 300,
 ) -> tuple[int, dict[int, float]]:
-    """Fit each k on one cached, bounded sample; the best mean silhouette wins, the first k on ties."""
-    sample = subsample(embeddings.select(id_col, vector_col), sample_size, id_col, seed)
-    vectors = unit_features(sample, vector_col).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit and score each k on all vectors (or on a seeded sample of ``sample_size``).
+
+    The best squared silhouette wins, the smaller k on ties.
+    """
+    taken = embeddings.select(id_col, vector_col)
+    taken = taken if sample_size is None else subsample(taken, sample_size, id_col, seed)
+    vectors = unit_features(taken, vector_col).persist(StorageLevel.MEMORY_AND_DISK)
     scores: dict[int, float] = {}
     try:
         for k in k_range:
             model, _ = train_kmeans(vectors, k, max_iter=max_iter, seed=seed, restarts=restarts)
-            scored = mean_silhouette(
-                assign_segments(vectors, model), id_col, "features", sample_size=SEARCH_SCORED, seed=seed
-            )
-            scores[k] = float(scored.first()["silhouette"])
+            scores[k] = squared_silhouette(assign_segments(vectors, model))
     finally:
         vectors.unpersist()
-    return max(scores, key=scores.__getitem__), scores
+    return min(scores, key=lambda k: (-scores[k], k)), scores
 
 
 def search_scores(spark, scores: dict[int, float]) -> DataFrame:
@@ -325,7 +332,7 @@ def run_segmentation(
         model, inertia = train_kmeans(
             vectors, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"]
         )
-        scored = mean_silhouette(assign_segments(vectors, model), id_col, "features", seed=seed).first()
+        silhouette = squared_silhouette(assign_segments(vectors, model))
     finally:
         vectors.unpersist()
     segmented = assign_segments(unit_features(sessions, vector_col), model).drop("features")
@@ -335,6 +342,6 @@ def run_segmentation(
         model=model,
         n_clusters=n_clusters,
         inertia=inertia,
-        silhouette=float(scored["silhouette"]) if scored["silhouette"] is not None else 0.0,
+        silhouette=silhouette,
         search=search,
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -376,8 +376,14 @@ def vector_subsample(w: Workspace) -> DataFrame:
 
 
 def silhouette(w: Workspace) -> DataFrame:
-    scored = sg.mean_silhouette(w.source("embeddings"), "vec_id", "embedding", "label")
-    return scored.select(F.floor(F.col("silhouette") * 1e6 + 0.5).alias("silhouette_millionths"), "n_points")
+    """Squared silhouette of all vectors under their labels."""
+    vectors = w.source("embeddings").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), F.col("label").alias("segment_id")
+    )
+    score = sg.squared_silhouette(vectors)
+    return vectors.agg(
+        F.floor(F.lit(score) * 1e6 + 0.5).alias("silhouette_millionths"), F.count(F.lit(1)).alias("n_points")
+    )
 
 
 def segment_terms(w: Workspace) -> DataFrame:

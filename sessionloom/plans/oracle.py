@@ -459,16 +459,21 @@ SELECT vec_id, CAST(i - 1 AS INTEGER) AS position, {_rnd("x / norm", 6)} AS valu
     q["vector_subsample"] = _with(
         ["sessions"], _sample("session_id, device_type", "sessions", "subsample", 42, 5000)
     )
-    q["silhouette"] = f"""
-WITH chosen AS ({_sample("vec_id, embedding::DOUBLE[] AS v, label AS c", "embeddings", "subsample", 42, 10000, "vec_id")}),
-apart AS (SELECT a.vec_id, a.c AS own, b.c AS other, sum(list_distance(a.v, b.v)) AS total, count(*) AS n
-          FROM chosen a CROSS JOIN chosen b WHERE a.vec_id <> b.vec_id GROUP BY ALL),
-sides AS (SELECT vec_id, coalesce(max(total / n) FILTER (own = other), 0) AS inside,
-                 count(*) FILTER (own = other) AS has_peers, min(total / n) FILTER (own <> other) AS outside
-          FROM apart GROUP BY vec_id)
-SELECT CAST(floor(avg(CASE WHEN has_peers = 0 OR outside IS NULL OR greatest(inside, outside) = 0 THEN 0
-                 ELSE (outside - inside) / greatest(inside, outside) END) * 1e6 + 0.5) AS BIGINT) AS silhouette_millionths,
-       count(*) AS n_points FROM sides"""
+    q["silhouette"] = """
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+parts AS (SELECT label, unnest(x) AS value, generate_subscripts(x, 1) AS i FROM v),
+sums AS (SELECT label, list(s ORDER BY i) AS y FROM (SELECT label, i, sum(value) AS s FROM parts GROUP BY label, i) GROUP BY label),
+sizes AS (SELECT label, count(*) AS n, sum(list_inner_product(x, x)) AS psi FROM v GROUP BY label),
+distance AS (
+  SELECT vec_id, v.label, s.label AS other, n,
+    list_inner_product(x, x) + psi / n - 2 * list_inner_product(x, y) / n AS d
+  FROM v CROSS JOIN sums s JOIN sizes z ON z.label = s.label),
+point AS (
+  SELECT vec_id, max(n) FILTER (label = other) AS n, max(d * n / greatest(n - 1, 1)) FILTER (label = other) AS inside,
+    min(d) FILTER (label <> other) AS outside
+  FROM distance GROUP BY vec_id)
+SELECT CAST(floor(avg(CASE WHEN n = 1 THEN 0 ELSE (outside - inside) / greatest(inside, outside) END) * 1e6 + 0.5) AS BIGINT)
+         AS silhouette_millionths, count(*) AS n_points FROM point"""
     q["segment_terms"] = _with(["terms"], "SELECT segment_id, kind, term, n, rank FROM terms")
     q["segment_devices"] = _with(["devices_by_segment"], "SELECT * FROM devices_by_segment")
     q["segment_sizes"] = _with(["sizes_by_segment"], "SELECT * FROM sizes_by_segment")

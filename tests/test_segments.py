@@ -53,11 +53,10 @@ def test_one_cluster_has_silhouette_zero(spark, blobs):
     assert sg.mean_silhouette(blobs.withColumn("segment_id", F.lit(0)), "id").first()["silhouette"] == 0.0
 
 
-def test_silhouette_sample_is_bounded(blobs, monkeypatch):
+def test_silhouette_sample_is_bounded(blobs):
     assert sg.mean_silhouette(blobs, "id", sample_size=40).first()["n_points"] == 40
-    monkeypatch.setattr(sg, "FINAL_SCORED", 10)
     with pytest.raises(ValueError):
-        sg.point_silhouettes(blobs, "id", "embedding", "segment_id")
+        sg.point_silhouettes(blobs, "id", "embedding", "segment_id", most=10)
 
 
 def test_subsample(spark):
@@ -89,6 +88,7 @@ def test_best_k_finds_the_groups(blobs):
 
 def test_squared_silhouette_is_available(blobs):
     assert sg.squared_silhouette(unit_features(blobs)) > 0.9
+    assert sg.squared_silhouette(unit_features(blobs).withColumn("segment_id", F.lit(0))) == 0.0
 
 
 def _segmented(spark):
