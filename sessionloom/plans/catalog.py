@@ -372,7 +372,7 @@ def embedding_norms(w: Workspace) -> DataFrame:
 
 
 def vector_subsample(w: Workspace) -> DataFrame:
-    return sg.subsample(w.sessions().select("session_id", "device_type"), sg.SEARCH_SCORED, "session_id")
+    return sg.subsample(w.sessions().select("session_id", "device_type"), 5_000, "session_id")
 
 
 def silhouette(w: Workspace) -> DataFrame:
