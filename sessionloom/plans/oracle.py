@@ -10,7 +10,7 @@ from ..functions.privacy import hmac_pads
 from ..functions.text import STOP_WORDS
 from ..operators.evaluation import default_thresholds
 from ..schemas import FEATURE_COLS
-from ..sources.events import BROWSERS_BY_DEVICE, CONTENT_CATEGORIES, OS_BY_DEVICE
+from .fixture import BROWSERS, SYSTEMS, TOPICS
 
 _SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 
@@ -70,7 +70,7 @@ opened AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY
                           THEN 0 ELSE 1 END AS opens FROM ev),
 numbered AS (SELECT *, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY us, event_id
                        ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sno,
-                    {_list(CONTENT_CATEGORIES)}[(user_id + k % 4) % 15 + 1] AS category FROM opened)""")
+                    {_list(TOPICS)}[(user_id + k % 4) % 15 + 1] AS category FROM opened)""")
 _cte("hours", ["ev"], """
 user_total AS (SELECT user_id, count(*) AS total FROM ev GROUP BY ALL),
 hour_count AS (SELECT user_id, hour(ts) AS hour, count(*) AS n FROM ev GROUP BY ALL),
@@ -89,11 +89,13 @@ grouped AS (
            AS interaction_text
   FROM numbered GROUP BY user_id, sno),
 typed AS (
-  SELECT *, CASE WHEN eid % 20 < 10 THEN 'mobile' WHEN eid % 20 < 17 THEN 'desktop' ELSE 'tablet' END AS device_type,
+  SELECT *, CASE WHEN user_id % 5 = 0 THEN 'mobile'
+                 WHEN user_id % 5 = 1 THEN CASE WHEN eid % 17 < 10 THEN 'mobile' ELSE 'desktop' END
+                 WHEN eid % 20 < 10 THEN 'mobile' WHEN eid % 20 < 17 THEN 'desktop' ELSE 'tablet' END AS device_type,
          'user_' || user_id AS real_user_id,
          (user_id % 250 + 1) || '.' || CASE WHEN eid % 10 < 6 THEN user_id % 7 WHEN eid % 10 < 9 THEN 100 ELSE 200 END
            AS ip_prefix FROM grouped),
-named AS (SELECT *, {_by_device(OS_BY_DEVICE)} AS os, {_by_device(BROWSERS_BY_DEVICE)} AS browser FROM typed),
+named AS (SELECT *, {_by_device(SYSTEMS)} AS os, {_by_device(BROWSERS)} AS browser FROM typed),
 sessions AS MATERIALIZED (
   SELECT user_id || '-' || sno AS session_id, real_user_id, sha256(real_user_id) AS user_id_hash, device_type, os,
          browser, ip_prefix, sha256(ip_prefix) AS ip_prefix_hash,
@@ -172,8 +174,8 @@ _cte("scored", ["features"], """
 scored AS MATERIALIZED (
   SELECT *, CAST(probability >= 0.5 AS INTEGER) AS predicted_label FROM (
     SELECT pair_id, session_id_a, session_id_b, label,
-           (4 * ip_prefix_match + 2 * device_fp_match + same_hour_of_day + 3 * least(n_shared_categories, 2))
-             / 13.0::DOUBLE AS probability, split FROM features))""")
+           (6 * ip_prefix_match + device_fp_match + same_hour_of_day + 3 * least(n_shared_categories, 1))
+             / 11.0::DOUBLE AS probability, split FROM features))""")
 _cte("outcome", ["scored"], """
 outcome AS (SELECT count(*) FILTER (label = 1 AND predicted_label = 1) AS tp,
                    count(*) FILTER (label = 0 AND predicted_label = 1) AS fp,

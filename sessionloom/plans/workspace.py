@@ -19,7 +19,8 @@ from ..operators.pairs import build_feature_matrix, number_pairs, sample_pairs,
 from ..operators.segments import label_segments
 from ..operators.textsignals import text_columns
 from ..session import configure, shared_dir, spread
-from ..sources.events import read_events, sessions_from_events
+from ..sources.events import read_events
+from .fixture import sessions_from_events
 from .job import TableStore, run
 
 
@@ -83,12 +84,12 @@ class Workspace:
     def scored_pairs(self) -> DataFrame:
         """Identity pairs scored by a fixed integer rule, so evaluation has an exact expected result."""
         points = (
-            4 * F.col("ip_prefix_match")
-            + 2 * F.col("device_fp_match")
+            6 * F.col("ip_prefix_match")
+            + F.col("device_fp_match")
             + F.col("same_hour_of_day")
-            + 3 * F.least(F.col("n_shared_categories"), F.lit(2))
+            + 3 * F.least(F.col("n_shared_categories"), F.lit(1))
         )
-        scored = self.feature_pairs().withColumn("probability", points / F.lit(13.0))
+        scored = self.feature_pairs().withColumn("probability", points / F.lit(11.0))
         return identity_pairs(scored.withColumn("predicted_label", at_least("probability", 0.5)))
 
     def derive_enriched(self) -> DataFrame:

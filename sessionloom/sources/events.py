@@ -1,72 +1,27 @@
-"""Sessions derived from a raw event stream table by inactivity gap.
+"""Sessions cut from a raw event stream table by inactivity gap.
 
 Skew: one user may own a third of all events, so events are first folded into
 (user, hour, event type, interest) cells with map-side combining. An hour is
 shorter than the inactivity gap, so a cell never spans two sessions, and the
 number of cells per user is bounded by the time range (hours x event types x
 interests), however many events the user has. Only cells reach the per-user window.
-Event types are a small vocabulary; titles are sets over it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.numeric import clip, round_half_up
-from ..functions.privacy import device_fingerprint_hash, sha256_hex, user_agent_hash
-from ..functions.text import title_list
-
-# Content categories, device mix (of 20), systems and browsers per device.
-CONTENT_CATEGORIES = [
-    "technology", "fashion", "sports", "travel", "food_beverage",
-    "automotive", "finance", "health_wellness", "entertainment", "home_decor",
-    "gaming", "beauty", "education", "real_estate", "fitness",
-]
-DEVICE_UPPER_BOUNDS = {"mobile": 10, "desktop": 17, "tablet": 20}
-OS_BY_DEVICE = {
-    "mobile": ["iOS", "Android"],
-    "desktop": ["Windows", "macOS", "Linux"],
-    "tablet": ["iOS", "Android", "Windows"],
-}
-BROWSERS_BY_DEVICE = {
-    "mobile": ["Chrome Mobile", "Safari Mobile", "Firefox Mobile", "Samsung Browser"],
-    "desktop": ["Chrome", "Firefox", "Safari", "Edge", "Opera"],
-    "tablet": ["Chrome", "Safari", "Firefox"],
-}
-
 HOUR_US = 3_600_000_000
 SESSION_GAP_US = 6 * HOUR_US
-INTERESTS_PER_USER = 4
+INTERESTS = 4
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (F.pmod(index, F.lit(len(values))) + 1).cast("int"))
-
-
-def _per_device(device: Column, table: dict[str, list[str]], index: Column) -> Column:
-    first, *rest = table.items()
-    start = F.when(device == first[0], _pick(first[1], index))
-    return reduce(lambda acc, item: acc.when(device == item[0], _pick(item[1], index)), rest, start)
-
-
-def _device(index: Column) -> Column:
-    slot = F.pmod(index, F.lit(20))
-    return (
-        F.when(slot < DEVICE_UPPER_BOUNDS["mobile"], "mobile")
-        .when(slot < DEVICE_UPPER_BOUNDS["desktop"], "desktop")
-        .otherwise("tablet")
-    )
-
-
 def event_cells(events: DataFrame) -> DataFrame:
     """Fold events into (user, hour, type, interest) cells; every measure combines map-side."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -77,7 +32,7 @@ def event_cells(events: DataFrame) -> DataFrame:
             "user_id",
             F.floor(F.col("us") / F.lit(HOUR_US)).alias("hour_slot"),
             "event_type",
-            F.pmod("k", F.lit(INTERESTS_PER_USER)).alias("interest"),
+            F.pmod("k", F.lit(INTERESTS)).alias("interest"),
         )
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -90,88 +45,53 @@ def event_cells(events: DataFrame) -> DataFrame:
     )
 
 
-def sessions_from_events(events: DataFrame, gap_us: int = SESSION_GAP_US) -> DataFrame:
-    """One row per session, in the raw sessions contract plus ``first_event_id``.
-
-    Two shuffles of cells: the fold, and one by user that serves the gap window, the
-    session aggregate and the left join with the per-user activity histogram. The histogram
-    has one row per user, so a query that does not read it loses the join altogether.
-    """
+def numbered_cells(events: DataFrame, gap_us: int = SESSION_GAP_US) -> DataFrame:
+    """The cells with ``sno``, the number of their session within the user, from 1."""
     if gap_us < HOUR_US:
         raise ValueError("the inactivity gap must be at least one hour")
     ordered = W.partitionBy("user_id").orderBy("first_us", "first_event_id")
     previous_end = F.max("last_us").over(ordered.rowsBetween(W.unboundedPreceding, -1))
     opens = F.when(F.col("first_us") - previous_end <= gap_us, 0).otherwise(1)
-    numbered = (
+    return (
         event_cells(events)
         .withColumn("opens", opens)
         .withColumn("sno", F.sum("opens").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
+        .drop("opens")
     )
-    category = _pick(CONTENT_CATEGORIES, F.col("user_id") + F.col("interest"))
-    title = F.concat_ws(" ", "event_type", F.replace(F.col("category"), F.lit("_"), F.lit(" ")))
-    sessions = (
-        numbered.withColumn("category", category)
-        .groupBy("user_id", "sno")
-        .agg(
-            F.sum("n").alias("pages_visited"),
-            F.sum("sum_k").alias("sum_k"),
-            F.max("max_k").alias("max_k"),
-            F.min("first_event_id").alias("first_event_id"),
-            F.min("first_us").alias("first_us"),
-            F.sum(F.when(F.col("event_type") == "click", F.col("n")).otherwise(0)).alias("click_count"),
-            # bounded sets: at most INTERESTS_PER_USER categories, and their titles per event type
-            F.array_sort(F.collect_set("category")).alias("content_categories"),
-            F.array_sort(F.collect_set(title)).alias("titles"),
-        )
-    )
-    profiled = sessions.join(activity_histogram(events), "user_id", "left")
-    eid, sno = F.col("first_event_id"), F.col("sno")
-    real_user = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
-    device, os_name, browser = F.col("device_type"), F.col("os"), F.col("browser")
-    network_kind = F.pmod(eid, F.lit(10))
-    network = (
-        F.when(network_kind < 6, F.pmod("user_id", F.lit(7))).when(network_kind < 9, F.lit(100)).otherwise(F.lit(200))
-    )
-    return (
-        profiled.withColumn("device_type", _device(eid))
-        .withColumn("os", _per_device(device, OS_BY_DEVICE, eid))
-        .withColumn("browser", _per_device(device, BROWSERS_BY_DEVICE, eid))
-        .withColumn("real_user_id", real_user)
-        .withColumn(
-            "ip_prefix",
-            F.concat_ws(
-                ".", (F.pmod("user_id", F.lit(250)) + 1).cast("string"), network.cast("string")
-            ),
-        )
-        .select(
-            F.concat_ws("-", F.col("user_id").cast("string"), sno.cast("string")).alias("session_id"),
-            "real_user_id",
-            sha256_hex("real_user_id").alias("user_id_hash"),
-            "device_type",
-            "os",
-            "browser",
-            "ip_prefix",
-            sha256_hex("ip_prefix").alias("ip_prefix_hash"),
-            device_fingerprint_hash(F.col("real_user_id"), device, os_name, sno - 1).alias("device_fingerprint_hash"),
-            user_agent_hash(browser, os_name).alias("user_agent_hash"),
-            F.timestamp_micros("first_us").alias("session_start"),
-            (F.lit(10) + 3 * F.col("sum_k")).alias("session_duration_s"),
-            "pages_visited",
-            "click_count",
-            round_half_up(clip(F.col("max_k") / F.lit(99.0), 0.05, 1.0), 4).alias("scroll_depth_avg"),
-            "content_categories",
-            title_list("titles").alias("interaction_text"),
-            "active_hours_profile",
-            "first_event_id",
-        )
+
+
+def hour_counts(hour: Column, n: Column) -> list[Column]:
+    """24 sums of ``n`` by hour of day, named h0 .. h23."""
+    return [F.sum(F.when(hour == h, n).otherwise(0)).alias(f"h{h}") for h in range(24)]
+
+
+def session_measures(events: DataFrame, *extra: Column, gap_us: int = SESSION_GAP_US) -> DataFrame:
+    """One row per session with its counts, first event and times, and its user's activity histogram.
+
+    One scan of the events and two shuffles of cells: the fold, and one by user that serves the gap
+    window, the session aggregate and the histogram, whose sums over the user's sessions a query
+    that does not read it loses altogether. ``extra`` are further aggregates of the cells.
+    """
+    sessions = numbered_cells(events, gap_us).groupBy("user_id", "sno").agg(
+        F.sum("n").alias("pages_visited"),
+        F.sum("sum_k").alias("sum_k"),
+        F.max("max_k").alias("max_k"),
+        F.min("first_event_id").alias("first_event_id"),
+        F.min("first_us").alias("first_us"),
+        F.sum(F.when(F.col("event_type") == "click", F.col("n")).otherwise(0)).alias("click_count"),
+        *extra,
+        *hour_counts(F.pmod("hour_slot", F.lit(24)), F.col("n")),
     )
+    user = W.partitionBy("user_id")
+    total = F.sum("pages_visited").over(user)
+    profile = F.array(*[F.sum(f"h{h}").over(user) / total for h in range(24)])
+    return sessions.withColumn("active_hours_profile", profile).drop(*[f"h{h}" for h in range(24)])
 
 
 def activity_histogram(events: DataFrame, user: str = "user_id", ts: str = "ts") -> DataFrame:
     """Share of each user's events per hour of day: 24 doubles that sum to 1."""
     per_hour = events.groupBy(user, F.hour(F.col(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    counts = [F.sum(F.when(F.col("hour") == h, F.col("n")).otherwise(0)).alias(f"h{h}") for h in range(24)]
-    folded = per_hour.groupBy(user).agg(F.sum("n").alias("total"), *counts)
+    folded = per_hour.groupBy(user).agg(F.sum("n").alias("total"), *hour_counts(F.col("hour"), F.col("n")))
     return folded.select(
         user, F.array(*[F.col(f"h{h}") / F.col("total") for h in range(24)]).alias("active_hours_profile")
     )

@@ -5,14 +5,15 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import assert_same, duck
+from conftest import assert_same, duck, plan_text
 from sessionloom.operators.features import session_features
 from sessionloom.operators.pairs import sample_pairs
 from sessionloom.operators.quality import schema_mismatches, session_quality
+from sessionloom.plans.fixture import sessions_from_events
 from sessionloom.plans.oracle import all_oracles
 from sessionloom.plans.workspace import Workspace
 from sessionloom.schemas import SESSIONS_SCHEMA
-from sessionloom.sources.events import event_cells, sessions_from_events
+from sessionloom.sources.events import event_cells
 
 EXPECTED = all_oracles()
 
@@ -95,3 +96,9 @@ def test_one_user_only_gives_no_negatives(spark):
     sessions = session_features(sessions_from_events(_events(spark, times)))
     labels = {r["label"]: r["count"] for r in sample_pairs(sessions).groupBy("label").count().collect()}
     assert labels == {1: 3}
+
+
+def test_events_are_scanned_once(workspace):
+    text = plan_text(workspace.derive_sessions())
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2
+    assert "SortAggregate" not in text and "Join" not in text
