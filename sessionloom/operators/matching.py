@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import make_config
-from ..functions.numeric import at_least
+from ..functions.numeric import at_least, round_half_up
 from ..schemas import FEATURE_COLS
 from ..session import ensure_checkpoint_dir, materialised
 from .evaluation import classification_metrics, confusion_matrix, roc_auc
@@ -164,7 +164,7 @@ def train_identity_model(
     n_train = pairs.where(F.col("split") == "train").agg(F.count(F.lit(1))).scalar()
     auc = roc_auc(test).select("roc_auc").scalar()
     metrics = classification_metrics(test, threshold).select(
-        F.lit(name).alias("model"), "*", auc.alias("roc_auc"), n_train.alias("n_train")
+        F.lit(name).alias("model"), "*", round_half_up(auc, 4).alias("roc_auc"), n_train.alias("n_train")
     )
     return IdentityResult(
         model=model,

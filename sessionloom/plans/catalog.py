@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from ..config import DEFAULTS
 from ..functions.numeric import clip, round_half_up
 from ..functions.privacy import anonymise, hash_matches, hmac_sha256, ip_prefix, user_agent_hash
 from ..functions.text import array_to_json, clean_text, keyword_phrases, strings_from_json, truncate
@@ -26,10 +30,6 @@ from ..sources.events import activity_histogram
 from .job import STORED_PII
 from .workspace import TEST_SALT, Workspace
 
-# Smaller fits for the catalogue; the library defaults stay as they are.
-_SMALL_TREES = {"xgb_params": {"n_estimators": 20}}
-_SMALL_SEARCH = {"k_search_range": [6, 8, 10], "kmeans_restarts": 1, "search_restarts": 1, "kmeans_max_iter": 100}
-
 
 def _micros(col: str) -> F.Column:
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(col)
@@ -280,30 +280,62 @@ def identity_graph_stats(w: Workspace) -> DataFrame:
     return ev.identity_graph_stats(w.sessions(), w.scored_pairs())
 
 
-# -- fitted models (no closed-form expected values) -------------------------------------
+# -- fitted models: facts about the fit that any right fit has ---------------------------
+
 
+def _fit_facts(w: Workspace, model: str) -> DataFrame:
+    """One row: sizes, and whether the reported metrics equal those recomputed from the stored pairs.
 
-def _trained(w: Workspace, model: str) -> mt.IdentityResult:
-    return mt.train_identity_model(
-        w.sessions(), {"identity": {"model": model, **_SMALL_TREES}}, features=w.feature_pairs()
+    Counts are recomputed with plain filters, AUC with Spark's own evaluator.
+    """
+    result = w.trained(model)
+    label, decision, p = F.col("label"), F.col("predicted_label"), F.col("probability")
+    test = F.col("split") == "test"
+    tp, fp, fn = test & (label == 1) & (decision == 1), test & (label == 0) & (decision == 1), test & (label == 1) & (decision == 0)
+    counted = result.pairs.agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.count_if(p.between(0.0, 1.0)).alias("n_probabilities"),
+        F.count_if(decision == (p >= 0.5).cast("int")).alias("n_decisions"),
+        F.count_if(test).alias("in_test"),
+        F.count_if(test & (label == decision)).alias("hit"),
+        F.count_if(tp).alias("tp"), F.count_if(fp).alias("fp"), F.count_if(fn).alias("fn"),
+    )
+    area = BinaryClassificationEvaluator(
+        rawPredictionCol="probability", labelCol="label", metricName="areaUnderROC", numBins=0
+    ).evaluate(result.pairs.where(test))
+
+    def agrees(metric: str, value: F.Column | float) -> F.Column:
+        return F.abs(F.col(metric) - F.coalesce(value, F.lit(0.0))) <= 0.5e-4 + 1e-9
+
+    one = counted.select(F.struct("*").alias("c")).scalar()
+    return result.metrics.withColumn("c", one).select("*", "c.*").select(
+        "model", "threshold", "n_train", "n_test", "n_pairs", "n_probabilities", "n_decisions",
+        (
+            (F.col("in_test") == F.col("n_test"))
+            & agrees("accuracy", F.try_divide("hit", "in_test"))
+            & agrees("precision", F.try_divide("tp", F.col("tp") + F.col("fp")))
+            & agrees("recall", F.try_divide("tp", F.col("tp") + F.col("fn")))
+            & agrees("f1", F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
+            & agrees("roc_auc", F.lit(area))
+        ).alias("metrics_agree"),
     )
 
 
 def random_forest(w: Workspace) -> DataFrame:
-    return _trained(w, "random_forest").metrics
+    return _fit_facts(w, "random_forest")
 
 
 def boosted_trees(w: Workspace) -> DataFrame:
-    return _trained(w, "xgboost").metrics
+    return _fit_facts(w, "xgboost")
 
 
 def logistic_regression(w: Workspace) -> DataFrame:
-    return _trained(w, "logistic_regression").metrics
+    return _fit_facts(w, "logistic_regression")
 
 
 def model_scored_pairs(w: Workspace) -> DataFrame:
     """Pairs scored by a fitted model: per split and label, all, with a probability, with the right decision."""
-    model = mt.fit_on(w.feature_pairs(), "logistic_regression")
+    model = w.trained("logistic_regression").model
     p, decision = F.col("probability"), F.col("predicted_label")
     return (
         mt.identity_pairs(mt.score(w.feature_pairs(), model, 0.7))
@@ -317,16 +349,35 @@ def model_scored_pairs(w: Workspace) -> DataFrame:
 
 
 def feature_importance(w: Workspace) -> DataFrame:
-    model = mt.fit_on(w.feature_pairs(), "random_forest", _SMALL_TREES)
-    return mt.top_features(mt.feature_importance(model, w.spark))
+    """Every feature has one importance, none negative, in falling order, and together they make 1."""
+    importance = w.trained("random_forest").feature_importance
+    top = mt.top_features(importance).agg(F.collect_list("importance")).scalar()  # 15 values
+    falling = F.reverse(F.array_sort(F.collect_list("importance")))  # 16 values
+    return importance.agg(
+        F.count_distinct("feature").alias("n_features"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("makes_one"),
+        falling.alias("falling"),
+    ).select(
+        "n_features", "n_negative", "makes_one", (F.slice("falling", 1, 15) == top).alias("top_are_the_largest")
+    )
 
 
 def saved_model_scores(w: Workspace) -> DataFrame:
-    """Fit, save, load and score id pairs with the loaded model."""
-    model = mt.fit_on(w.feature_pairs(), "logistic_regression")
+    """Score id pairs with the model kept in memory and with its saved and loaded copy."""
+    model = w.trained("random_forest").model
     path = shared_dir(w.spark, "model")
     mt.save_model(model, path)
-    return mt.predict_match(w.pairs(), w.sessions(), mt.load_model(path))
+    ids = w.pairs().select("session_id_a", "session_id_b").distinct()
+    kept = mt.predict_match(ids, w.sessions(), model)
+    loaded = mt.predict_match(ids, w.sessions(), mt.load_model(path))
+    both = kept.alias("k").join(loaded.alias("l"), ["session_id_a", "session_id_b"])
+    same = (F.col("k.probability") == F.col("l.probability")) & (F.col("k.is_same_user") == F.col("l.is_same_user"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(same).alias("n_same"),
+        F.count_if(F.col("l.is_same_user") == (F.col("l.probability") >= 0.5)).alias("n_decisions"),
+    )
 
 
 # -- text ----------------------------------------------------------------------------
@@ -408,21 +459,29 @@ def segment_profiles(w: Workspace) -> DataFrame:
 
 
 def kmeans_segments(w: Workspace) -> DataFrame:
-    """Fit on unit vectors, assign every vector, report size and inertia per segment."""
-    vectors = tx.unit_features(w.source("embeddings"))
-    model, inertia = sg.train_kmeans(vectors, 10, restarts=2)
-    return (
-        sg.assign_segments(vectors, model)
-        .groupBy("segment_id")
-        .agg(F.count(F.lit(1)).alias("n_vectors"))
-        .withColumn("inertia", F.lit(inertia))
+    """Fit on unit vectors: segments used, vectors assigned, and the inertia against its recomputed value."""
+    vectors, model, inertia = _fitted_on_vectors(w)
+    return _placed(vectors, model).agg(
+        F.countDistinct("segment_id").alias("n_segments"),
+        F.count(F.lit(1)).alias("n_vectors"),
+        (F.abs(F.sum("own") - inertia) < 1e-6 * F.sum("own") + 1e-9).alias("inertia_agrees"),
     )
 
 
-def kmeans_assignment(w: Workspace) -> DataFrame:
-    """Every vector is assigned once, all segments are used and each vector sits at its nearest centre."""
+def _fitted_on_vectors(w: Workspace) -> tuple[DataFrame, KMeansModel, float]:
+    """Unit vectors, the best of the default number of fits on them, and its inertia."""
+    seg = DEFAULTS["segmentation"]
     vectors = tx.unit_features(w.source("embeddings").select("vec_id", "embedding"))
-    model, _ = sg.train_kmeans(vectors, 10, restarts=1)
+    held = vectors.persist()
+    try:
+        fit = sg.train_kmeans(held, seg["n_clusters"], max_iter=seg["kmeans_max_iter"], restarts=seg["kmeans_restarts"])
+    finally:
+        held.unpersist()
+    return vectors, *fit
+
+
+def _placed(vectors: DataFrame, model: KMeansModel) -> DataFrame:
+    """Assigned vectors with their squared distance to the own and to the nearest centre."""
     centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
 
     def apart(centre: F.Column) -> F.Column:
@@ -433,17 +492,28 @@ def kmeans_assignment(w: Workspace) -> DataFrame:
         "vec_id", "segment_id", vector_to_array("features").alias("v")
     ).withColumn("distances", F.transform(centres, apart))
     own = F.element_at("distances", F.col("segment_id") + 1)
-    return measured.agg(
+    return measured.select("vec_id", "segment_id", own.alias("own"), F.array_min("distances").alias("nearest"))
+
+
+def kmeans_assignment(w: Workspace) -> DataFrame:
+    """Every vector is assigned once, all segments are used and each vector sits at its nearest centre."""
+    vectors, model, _ = _fitted_on_vectors(w)
+    return _placed(vectors, model).agg(
         F.count(F.lit(1)).alias("n_assigned"),
         F.countDistinct("vec_id").alias("n_vectors"),
         F.countDistinct("segment_id").alias("n_segments"),
-        F.count_if(own > F.array_min("distances") + F.lit(1e-9)).alias("n_misplaced"),
+        F.count_if(F.col("own") > F.col("nearest") + F.lit(1e-9)).alias("n_misplaced"),
     )
 
 
 def kmeans_search(w: Workspace) -> DataFrame:
-    _, scores = sg.find_best_k(w.source("embeddings"), _SMALL_SEARCH["k_search_range"], "vec_id", restarts=1)
-    return sg.search_scores(w.spark, scores)
+    """Each k of the default range with a score in its range; one is the best, the first of equals."""
+    best, scores = sg.find_best_k(w.source("embeddings"), DEFAULTS["segmentation"]["k_search_range"], "vec_id")
+    table = sg.search_scores(w.spark, scores)
+    first = F.min_by("k", F.struct(-F.col("silhouette"), "k")).over(W.partitionBy(F.lit(1)))  # one row per k
+    return table.select(
+        "k", F.col("silhouette").between(-1.0, 1.0).alias("scored"), (first == best).alias("best_agrees")
+    )
 
 
 # -- analytical queries and reports ----------------------------------------------------
@@ -544,25 +614,46 @@ def segment_listing(w: Workspace) -> DataFrame:
     return sm.segment_listing(w.profiles())
 
 
-def segmentation_run(w: Workspace) -> DataFrame:
-    """k search, fit, silhouette and profiles over embedded sessions."""
-    embedded = tx.process_sessions_text(w.contract_sessions(), 64)
-    return sg.run_segmentation(embedded, {"segmentation": _SMALL_SEARCH}).profiles
+def _segments_in_range(n: F.Column) -> F.Column:
+    searched = DEFAULTS["segmentation"]["k_search_range"]
+    return n.between(2, max(searched)).alias("segments_in_range")
 
 
-def _job_table(w: Workspace, name: str) -> DataFrame:
-    """A result table of one full run of the job (features, model, text, segments, tables)."""
-    cfg = {"identity": _SMALL_TREES, "segmentation": _SMALL_SEARCH, "nlp": {"embedding_dim": 64}}
-    return w.job_table(name, cfg)
+def segmentation_run(w: Workspace) -> DataFrame:
+    """k search, fit, silhouette and profiles over embedded sessions: the profiles cover every session once."""
+    profiles = sg.run_segmentation(w.embedded()).profiles
+    return profiles.agg(
+        F.sum("n_sessions").alias("n_sessions"),
+        _segments_in_range(F.count_distinct("segment_id")),
+        (F.count_distinct("segment_id") == F.count(F.lit(1))).alias("one_row_each"),
+        F.every(F.length("segment_label") > 0).alias("all_labelled"),
+        (F.abs(F.sum("pct_of_total") - 100) < 0.1).alias("shares_make_all"),
+    )
 
 
 def run_summary(w: Workspace) -> DataFrame:
-    return _job_table(w, "run_summary")
+    """One full run of the job with default settings: sessions, users, and figures inside their ranges."""
+    summary = w.job_table("run_summary")
+    return summary.select(
+        "sessions", "unique_users",
+        F.col("accuracy").between(0.0, 1.0).alias("accuracy_valid"),
+        F.col("roc_auc").between(0.0, 1.0).alias("roc_auc_valid"),
+        _segments_in_range(F.col("n_segments")),
+    )
 
 
 def run_metrics(w: Workspace) -> DataFrame:
-    """Identity and segmentation metrics of the run in long form."""
-    return _job_table(w, "run_metrics")
+    """The metrics a run keeps: the value where the data alone decide it, else whether it is in range."""
+    metric, value = F.col("metric"), F.col("value")
+    decided = metric.isin("threshold", "n_train", "n_test", "n_sessions")
+    signed = metric.startswith("silhouette")
+    unit = metric.isin("accuracy", "precision", "recall", "f1", "roc_auc") | metric.startswith("fi_")
+    top = F.when(unit | signed, 1.0).otherwise(float("inf"))
+    return w.job_table("run_metrics").select(
+        "run", "metric",
+        F.when(decided, value).alias("value"),
+        value.between(F.when(signed, -1.0).otherwise(0.0), top).alias("in_range"),
+    )
 
 
 _QUERIES = [

@@ -444,9 +444,38 @@ SELECT (SELECT count(*) FROM scored) AS total_pairs_evaluated, count(*) AS match
     q["model_scored_pairs"] = _with(["split_pairs"], """
 SELECT split, label, count(*) AS n_pairs, count(*) AS n_probabilities, count(*) AS n_decisions
 FROM split_pairs GROUP BY split, label""")
+    for name, model in (("random_forest", "random_forest"), ("boosted_trees", "xgboost"), ("logistic_regression",) * 2):
+        q[name] = _with(["split_pairs"], f"""
+SELECT '{model}' AS model, 0.5::DOUBLE AS threshold, count(*) FILTER (split = 'train') AS n_train,
+       count(*) FILTER (split = 'test') AS n_test, count(*) AS n_pairs, count(*) AS n_probabilities,
+       count(*) AS n_decisions, true AS metrics_agree FROM split_pairs""")
+    # one importance for each feature of the contract, whatever the data
+    q["feature_importance"] = f"""
+SELECT CAST({len(FEATURE_COLS)} AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_negative, true AS makes_one,
+       true AS top_are_the_largest"""
+    q["saved_model_scores"] = _with(["pairs"], """
+SELECT count(*) AS n_scored, count(*) AS n_same, count(*) AS n_decisions
+FROM (SELECT DISTINCT session_id_a, session_id_b FROM pairs)""")
     q["embedding_norms"] = """
 SELECT doc_id, CAST(384 AS INTEGER) AS n_dims,
        CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}]') THEN 1.0 ELSE 0.0 END AS squared_length FROM documents"""
+    q["kmeans_segments"] = """
+SELECT CAST(10 AS BIGINT) AS n_segments, count(*) AS n_vectors, true AS inertia_agrees FROM embeddings"""
+    q["kmeans_search"] = "SELECT CAST(range AS INTEGER) AS k, true AS scored, true AS best_agrees FROM range(6, 13)"
+    q["segmentation_run"] = _with(["sessions"], """
+SELECT count(*) AS n_sessions, true AS segments_in_range, true AS one_row_each, true AS all_labelled,
+       true AS shares_make_all FROM sessions""")
+    q["run_summary"] = _with(["sessions"], """
+SELECT count(*) AS sessions, count(DISTINCT user_id_hash) AS unique_users, true AS accuracy_valid,
+       true AS roc_auc_valid, true AS segments_in_range FROM sessions""")
+    ranged = ["accuracy", "precision", "recall", "f1", "roc_auc", *[f"fi_{c}" for c in FEATURE_COLS]]
+    found = ["n_clusters", "inertia", "silhouette_final", *[f"silhouette_k{k}" for k in range(6, 13)]]
+    q["run_metrics"] = _with(["split_pairs"], f"""
+SELECT 'run_identity' AS run, unnest({_list(ranged)}) AS metric, NULL::DOUBLE AS value, true AS in_range
+UNION ALL SELECT 'run_segmentation', unnest({_list(found)}), NULL, true
+UNION ALL SELECT 'run_identity', 'threshold', 0.5, true
+UNION ALL SELECT 'run_identity', 'n_' || split, count(*)::DOUBLE, true FROM split_pairs GROUP BY split
+UNION ALL SELECT 'run_segmentation', 'n_sessions', count(*)::DOUBLE, true FROM sessions""")
     q["kmeans_assignment"] = """
 SELECT count(*) AS n_assigned, count(DISTINCT vec_id) AS n_vectors, CAST(10 AS BIGINT) AS n_segments,
        CAST(0 AS BIGINT) AS n_misplaced FROM embeddings"""

@@ -12,12 +12,13 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import DEFAULTS
 from ..functions.numeric import at_least
 from ..operators.features import session_features
-from ..operators.matching import identity_pairs
+from ..operators.matching import IdentityResult, identity_pairs, train_identity_model
 from ..operators.pairs import build_feature_matrix, number_pairs, sample_pairs, stratified_split
 from ..operators.segments import label_segments
-from ..operators.textsignals import text_columns
+from ..operators.textsignals import process_sessions_text, text_columns
 from ..session import configure, shared_dir, spread
 from ..sources.events import read_events
 from .fixture import sessions_from_events
@@ -34,6 +35,12 @@ def _folder(app_id: str, sf_dir: str) -> dict[str, str]:
     return {}
 
 
+@lru_cache(maxsize=None)
+def _models(app_id: str, sf_dir: str) -> dict[str, IdentityResult]:
+    """Models already fitted for this application and source folder."""
+    return {}
+
+
 class Workspace:
     """Access to the driver tables of one folder and to the tables derived from them."""
 
@@ -41,6 +48,7 @@ class Workspace:
         self.spark = configure(spark)
         self.sf_dir = sf_dir.rstrip("/")
         self._written = _folder(spark.sparkContext.applicationId, self.sf_dir)
+        self._fitted = _models(spark.sparkContext.applicationId, self.sf_dir)
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -105,11 +113,23 @@ class Workspace:
     def profiles(self) -> DataFrame:
         return self._stored("profiles", lambda: label_segments(self.enriched()))
 
-    def job_table(self, name: str, cfg: dict) -> DataFrame:
-        """``run_summary`` or ``run_metrics`` of one end-to-end run over the sessions."""
+    def trained(self, model: str) -> IdentityResult:
+        """The identity model of this kind, fitted once with default settings."""
+        if model not in self._fitted:
+            cfg = {"identity": {"model": model}}
+            self._fitted[model] = train_identity_model(self.sessions(), cfg, features=self.feature_pairs())
+        return self._fitted[model]
+
+    def embedded(self) -> DataFrame:
+        """Sessions after the text pass, with default dimensions."""
+        dim = DEFAULTS["nlp"]["embedding_dim"]
+        return self._stored("embedded", lambda: process_sessions_text(self.contract_sessions(), dim))
+
+    def job_table(self, name: str) -> DataFrame:
+        """``run_summary`` or ``run_metrics`` of one end-to-end run with default settings over the sessions."""
         if name not in self._written:
             store = TableStore(self.spark)
-            result = run(self.spark, self.contract_sessions(), cfg, store=store, salt=TEST_SALT)
+            result = run(self.spark, self.contract_sessions(), store=store, salt=TEST_SALT)
             store.save(result.summary, "run_summary")
             for table in ("run_summary", "run_metrics"):
                 self._written[table] = f"{store.folder}/{table}"
