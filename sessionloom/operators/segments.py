@@ -19,7 +19,6 @@ from pyspark.sql import Window as W
 from ..config import make_config
 from ..functions.numeric import round_half_up
 from ..functions.text import segment_label
-from ..session import spread
 from .ranking import sample_rows
 from .textsignals import unit_features
 
@@ -123,28 +122,39 @@ def train_kmeans(
     seed: int = 42,
     restarts: int = 10,
     features_col: str = "features",
+    weight_col: str | None = None,
 ) -> tuple[KMeansModel, float]:
     """Best of several seeded fits and its inertia. ``vectors`` should be unit length and persisted.
 
-    ``k-means++`` is accepted and means its parallel form ``k-means||``.
+    ``weight_col`` counts how often a vector occurs (see ``folded_vectors``). ``k-means++`` is accepted and means its parallel form ``k-means||``.
     """
     mode = "k-means||" if init == "k-means++" else init
     best: tuple[KMeansModel, float] | None = None
     for attempt in range(restarts):
-        model = KMeans(
+        fit = KMeans(
             k=n_clusters,
             initMode=mode,
             maxIter=max_iter,
             seed=seed + attempt,
             featuresCol=features_col,
             predictionCol="segment_id",
-        ).fit(vectors)
+        )
+        model = (fit.setWeightCol(weight_col) if weight_col else fit).fit(vectors)
         inertia = float(model.summary.trainingCost)
         if best is None or inertia < best[1]:
             best = (model, inertia)
     return best
 
 
+def folded_vectors(vectors: DataFrame, features_col: str = "features") -> DataFrame:
+    """Distinct vectors with their number as ``weight``: the same K-Means objective over fewer rows.
+
+    Short texts often share a vector, and a fit passes over its rows dozens of times, so one shuffle
+    (combined map-side) pays. Where all vectors differ it costs one more pass.
+    """
+    return vectors.groupBy(features_col).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
 def assign_segments(vectors: DataFrame, model: KMeansModel) -> DataFrame:
     """Add ``segment_id`` to every row (narrow: nearest centre)."""
     return model.transform(vectors)
@@ -167,12 +177,14 @@ def find_best_k(
     taken = embeddings.select(id_col, vector_col)
     taken = taken if sample_size is None else subsample(taken, sample_size, id_col, seed)
     vectors = unit_features(taken, vector_col).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = folded_vectors(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     scores: dict[int, float] = {}
     try:
         for k in k_range:
-            model, _ = train_kmeans(vectors, k, max_iter=max_iter, seed=seed, restarts=restarts)
+            model, _ = train_kmeans(folded, k, max_iter=max_iter, seed=seed, restarts=restarts, weight_col="weight")
             scores[k] = squared_silhouette(assign_segments(vectors, model))
     finally:
+        folded.unpersist()
         vectors.unpersist()
     return min(scores, key=lambda k: (-scores[k], k)), scores
 
@@ -327,14 +339,14 @@ def run_segmentation(
             sessions, k_range, id_col, vector_col, seed=seed, restarts=seg["search_restarts"]
         )
     vectors = unit_features(sessions.select(id_col, vector_col), vector_col).drop(vector_col)
-    vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = folded_vectors(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model, inertia = train_kmeans(
-            vectors, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"]
+            folded, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"], weight_col="weight"
         )
         silhouette = squared_silhouette(assign_segments(vectors, model))
     finally:
-        vectors.unpersist()
+        folded.unpersist()
     segmented = assign_segments(unit_features(sessions, vector_col), model).drop("features")
     return SegmentationResult(
         segmented=segmented,

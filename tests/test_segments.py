@@ -156,3 +156,16 @@ def test_hot_segment(spark):
                 counts[w] = counts.get(w, 0) + 1
         want = dict(sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:8])
         assert {t: n for (s, t), n in got.items() if s == segment} == want
+
+
+def test_folded_vectors_keep_the_objective(spark, blobs):
+    from pyspark.ml.functions import vector_to_array
+
+    vectors = unit_features(blobs.unionByName(blobs.where("id % 3 = 0")).drop("segment_id"))
+    folded = sg.folded_vectors(vectors)
+    assert folded.agg(F.sum("weight")).first()[0] == vectors.count() > folded.count()
+    model, inertia = sg.train_kmeans(folded, 3, restarts=2, weight_col="weight")
+    placed = sg.assign_segments(vectors, model).withColumn("v", vector_to_array("features"))
+    centres = model.clusterCenters()
+    total = sum(float(((r["v"] - centres[r["segment_id"]]) ** 2).sum()) for r in placed.select("v", "segment_id").collect())
+    assert abs(total - inertia) < 1e-6
