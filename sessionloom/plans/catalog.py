@@ -620,9 +620,8 @@ def _segments_in_range(n: F.Column) -> F.Column:
 
 
 def segmentation_run(w: Workspace) -> DataFrame:
-    """k search, fit, silhouette and profiles over embedded sessions: the profiles cover every session once."""
-    profiles = sg.run_segmentation(w.embedded()).profiles
-    return profiles.agg(
+    """k search, fit and profiles of the run with default settings: the profiles cover every session once."""
+    return w.job_table("audience_segments").agg(
         F.sum("n_sessions").alias("n_sessions"),
         _segments_in_range(F.count_distinct("segment_id")),
         (F.count_distinct("segment_id") == F.count(F.lit(1))).alias("one_row_each"),

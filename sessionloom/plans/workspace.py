@@ -12,13 +12,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULTS
 from ..functions.numeric import at_least
 from ..operators.features import session_features
 from ..operators.matching import IdentityResult, identity_pairs, train_identity_model
 from ..operators.pairs import build_feature_matrix, number_pairs, sample_pairs, stratified_split
 from ..operators.segments import label_segments
-from ..operators.textsignals import process_sessions_text, text_columns
+from ..operators.textsignals import text_columns
 from ..session import configure, shared_dir, spread
 from ..sources.events import read_events
 from .fixture import sessions_from_events
@@ -120,17 +119,12 @@ class Workspace:
             self._fitted[model] = train_identity_model(self.sessions(), cfg, features=self.feature_pairs())
         return self._fitted[model]
 
-    def embedded(self) -> DataFrame:
-        """Sessions after the text pass, with default dimensions."""
-        dim = DEFAULTS["nlp"]["embedding_dim"]
-        return self._stored("embedded", lambda: process_sessions_text(self.contract_sessions(), dim))
-
     def job_table(self, name: str) -> DataFrame:
-        """``run_summary`` or ``run_metrics`` of one end-to-end run with default settings over the sessions."""
+        """``run_summary``, ``run_metrics`` or ``audience_segments`` of one end-to-end run with default settings over the sessions."""
         if name not in self._written:
             store = TableStore(self.spark)
             result = run(self.spark, self.contract_sessions(), store=store, salt=TEST_SALT)
             store.save(result.summary, "run_summary")
-            for table in ("run_summary", "run_metrics"):
+            for table in ("run_summary", "run_metrics", "audience_segments"):
                 self._written[table] = f"{store.folder}/{table}"
         return self.spark.read.parquet(self._written[name])
