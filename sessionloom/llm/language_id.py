@@ -6,9 +6,10 @@ training document per language; continuation counts of the lower orders, discoun
 weights follow from those counts. Models are held in arrays sorted by a 64-bit hash of the n-gram,
 with the log probability for every language side by side, and sent to the workers.
 
-Model size: at most ``max_grams`` (language, four-gram) pairs. Where the corpus has more, the
-smallest count that still fits becomes the lowest count a four-gram needs (count cut-off); every
-document is counted all the same, and the broadcast stays below about 60 bytes a gram and language.
+Every counted four-gram is part of the models. Up to ``max_grams`` (language, four-gram) pairs they are
+broadcast (about 60 bytes a gram and language); beyond that the same tables stay on Spark
+(``SpreadModels``) and the grams of the texts are joined to them. Both give the same figures, but for
+the rounding of the arrays to float32.
 
 A text gets the language of the lowest cross-entropy per symbol. ``score`` is that language's share
 when each language weighs exp(-cross-entropy * min(symbols, 32)). Rejection is calibrated on training
@@ -119,7 +120,10 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 
 def fitting_counts(counts: DataFrame, max_grams: int) -> pd.DataFrame:
-    """The counts at or above the smallest count with which at most ``max_grams`` rows remain."""
+    """The counts at or above the smallest count with which at most ``max_grams`` rows remain.
+
+    Makes a smaller, poorer model; ``fit`` does not use it.
+    """
     by_count = counts.groupBy(F.length(F.bin("n")).alias("size")).agg(F.count(F.lit(1)).alias("rows"))
     rows, least = 0, 1
     for size, number in sorted(by_count.collect(), reverse=True):  # one row per power of two
@@ -175,7 +179,11 @@ class HashArray:
 
 def discount(counts: np.ndarray) -> float:
     """Kneser-Ney discount n1 / (n1 + 2 n2), kept inside (0, 1)."""
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+    return discounted(int((counts == 1).sum()), int((counts == 2).sum()))
+
+
+def discounted(once: int, twice: int) -> float:
+    """Discount from the numbers of grams seen once and twice."""
     return float(np.clip(once / (once + 2 * twice), 0.1, 0.95)) if once else 0.5
 
 
@@ -272,21 +280,87 @@ class Models:
         return -total / np.maximum(number, 1)[:, None], number
 
 
+class SpreadModels:
+    """The figures of ``Models`` as tables on Spark, for any number of grams.
+
+    ``shares[n]`` (n = 4 .. 1; key, s0, s1, ...): discounted share of the n-gram in its context, per
+    language. ``weights[n]`` (key, w0, w1, ...): weight that a context of n - 1 symbols leaves to the
+    lower order; null where a language does not know it, which is 1.
+    """
+
+    def __init__(self, counts: DataFrame):
+        self.languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())  # one row per language
+        self.limits = {}
+        self.shares, self.weights = {}, {}
+        own = counts.select("lang", F.col("gram").alias("key"), "n")
+        for order in range(ORDER, 0, -1):
+            if order < ORDER:
+                last = F.col("key").bitwiseAND(F.lit((1 << 16 * order) - 1))
+                own = materialised(own.groupBy("lang", last.alias("key")).agg(F.count(F.lit(1)).alias("n")), "grams")
+            found = own.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
+            cuts = {r["lang"]: discounted(r["once"], r["twice"]) for r in found.collect()}  # one row per language
+            context = F.shiftrightunsigned("key", 16)
+            sums = own.groupBy("lang", context.alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
+            by_language = lambda value: [F.max(F.when(F.col("lang") == x, value(cuts[x]))) for x in self.languages]
+            weight = by_language(lambda cut: F.lit(cut) * F.col("types") / F.col("total"))
+            share = by_language(lambda cut: (F.col("n") - F.lit(cut)) / F.col("total"))
+            named = lambda letter, values: [v.alias(f"{letter}{i}") for i, v in enumerate(values)]
+            self.weights[order] = materialised(sums.groupBy(F.col("context").alias("key")).agg(*named("w", weight)), "weights")
+            joined = own.withColumn("context", context).join(sums, ["lang", "context"])
+            self.shares[order] = materialised(joined.groupBy("key").agg(*named("s", share)), "shares")
+
+    def log_probabilities(self, wanted: DataFrame) -> DataFrame:
+        """``wanted(gram)``, distinct -> gram, p0, p1, ...: log probability of the last symbol after the others."""
+        out = wanted.withColumns({f"p{i}": F.lit(1.0 / SYMBOLS) for i in range(len(self.languages))})
+        for order in range(1, ORDER + 1):
+            key = F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1)) if order < ORDER else F.col("gram")
+            out = out.withColumn("_key", key).withColumn("_context", F.shiftrightunsigned("_key", 16))
+            # keys of one symbol are 65,536 at most, and hot
+            share, weight = (F.broadcast(t) if order <= most else t for t, most in ((self.shares[order], 1), (self.weights[order], 2)))
+            out = out.join(share.withColumnRenamed("key", "_key"), "_key", "left")
+            out = out.join(weight.withColumnRenamed("key", "_context"), "_context", "left")
+            p = lambda i: F.coalesce(f"s{i}", F.lit(0.0)) + F.coalesce(f"w{i}", F.lit(1.0)) * F.col(f"p{i}")
+            out = out.select("gram", *[p(i).alias(f"p{i}") for i in range(len(self.languages))])
+        return out.select("gram", *[F.log(f"p{i}").alias(f"p{i}") for i in range(len(self.languages))])
+
+    def entropies(self, texts: DataFrame) -> DataFrame:
+        """``texts(row, text)`` -> row, entropy (array, a value per language), number; rows without a letter are left out."""
+
+        def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for row, text in zip(batch["row"], batch["text"], strict=True):
+                    stream = padded(text)
+                    for low in range(0, max(0, len(stream) - 3), SCORE_AT_ONCE):
+                        value, n = np.unique(grams(stream[low : low + SCORE_AT_ONCE + 3]), return_counts=True)
+                        yield pd.DataFrame({"row": row, "gram": value.view(np.int64), "n": n})
+
+        held = materialised(texts.mapInPandas(task, "row long, gram long, n long"), "text-grams")
+        known = materialised(self.log_probabilities(held.select("gram").distinct()), "probabilities")
+        number = F.sum("n").alias("number")
+        total = [F.sum(F.col("n") * F.col(f"p{i}")).alias(f"p{i}") for i in range(len(self.languages))]
+        sums = held.join(known, "gram").groupBy("row").agg(number, *total)
+        return sums.select("row", F.array(*[-F.col(f"p{i}") / F.col("number") for i in range(len(self.languages))]).alias("entropy"), "number")
+
+
 OUT = "lang_pred string, score double, entropy double, n_symbols long, rejected boolean"
 
 
 def predicted(models: Models, texts: list[str]) -> pd.DataFrame:
-    entropy, number = models.entropies(texts)
-    best = entropy.argmin(axis=1) if len(models.languages) else np.zeros(len(texts), int)
-    least = entropy[np.arange(len(texts)), best]
+    return verdicts(models.languages, models.limits, *models.entropies(texts))
+
+
+def verdicts(languages: list[str], limits: dict, entropy: np.ndarray, number: np.ndarray) -> pd.DataFrame:
+    """Columns ``OUT`` from the cross-entropies (a column per language) and the numbers of symbols."""
+    best = entropy.argmin(axis=1)
+    least = entropy[np.arange(len(entropy)), best]
     weigh = np.exp(-(entropy - least[:, None]) * np.minimum(number, SCORE_SYMBOLS)[:, None])
     known = number > 0
-    names = np.array([*models.languages], object)[best]
-    if models.limits:
-        limit = np.array([models.limits[name] for name in models.languages])[best]
+    names = np.array([*languages], object)[best]
+    if limits:
+        limit = np.array([limits[name] for name in languages])[best]
         ceiling = limit[:, 0] + REJECT_AT * np.sqrt(limit[:, 1] + limit[:, 2] / np.maximum(number, 1))
     else:
-        ceiling = np.full(len(texts), np.inf)
+        ceiling = np.full(len(entropy), np.inf)
     return pd.DataFrame(
         {
             "lang_pred": np.where(known, names, UNKNOWN),
@@ -307,21 +381,26 @@ def identified(text: Column, shared) -> Column:
     return F.pandas_udf(each, OUT)(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def fit(labelled: DataFrame, max_grams: int = MAX_GRAMS) -> Models | None:
-    """Models from ``labelled(lang, text)``; None if no row has a language and a letter."""
+def fit(labelled: DataFrame, max_grams: int = MAX_GRAMS) -> Models | SpreadModels | None:
+    """Models from ``labelled(lang, text)``, broadcast up to ``max_grams`` counts; None if no row has a language and a letter."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string"), "text")
     left_out = F.pmod(F.xxhash64("text"), F.lit(CALIBRATE_1_IN)) == 0
     counts = materialised(gram_counts(rows.where(~left_out)), "grams")
-    kept = fitting_counts(counts, max_grams)
-    if kept.empty:
+    number = counts.count()
+    if not number:
         return None
-    models = Models(kept)
+    models = Models(counts.toPandas()) if number <= max_grams else SpreadModels(counts)
     models.limits = limits(rows.where(left_out), models)
     return models
 
 
-def limits(labelled: DataFrame, models: Models) -> dict[str, tuple[float, float, float]]:
-    """Per language: mean cross-entropy, tau^2 and sigma^2 of held-back documents in their own language."""
+def own_entropies(labelled: DataFrame, models: Models | SpreadModels) -> DataFrame:
+    """(lang, h, n): cross-entropy in its own language and number of symbols of each row with a known language."""
+    if isinstance(models, SpreadModels):
+        rows = materialised(labelled.where(F.col("lang").isin(models.languages)).withColumn("row", F.monotonically_increasing_id()), "held-back")
+        place = F.array_position(F.array(*map(F.lit, models.languages)), F.col("lang")).cast("int")
+        scored = rows.select("row", "lang").join(models.entropies(rows.select("row", "text")), "row")
+        return scored.select("lang", F.get("entropy", place - 1).alias("h"), F.col("number").alias("n"))
     shared = labelled.sparkSession.sparkContext.broadcast(models)
     places = {name: i for i, name in enumerate(models.languages)}
 
@@ -333,9 +412,14 @@ def limits(labelled: DataFrame, models: Models) -> dict[str, tuple[float, float,
             own = entropy[np.arange(len(lang)), [places[x] for x in lang]] if len(lang) else np.zeros(0)
             yield pd.DataFrame({"lang": lang, "h": own, "n": number})
 
+    return labelled.mapInPandas(task, "lang string, h double, n long")
+
+
+def limits(labelled: DataFrame, models: Models | SpreadModels) -> dict[str, tuple[float, float, float]]:
+    """Per language: mean cross-entropy, tau^2 and sigma^2 of held-back documents in their own language."""
     h, x = F.col("h"), 1 / F.col("n")
     sums = {"docs": F.lit(1.0), "h": h, "hh": h * h, "x": x, "xx": x * x, "hx": h * x, "hhx": h * h * x}
-    scored = labelled.mapInPandas(task, "lang string, h double, n long").where("n > 0")
+    scored = own_entropies(labelled, models).where("n > 0")
     total = [F.sum(c).alias(k) for k, c in sums.items()]
     found = {r["lang"]: r for r in scored.rollup("lang").agg(*total).collect()}  # one row per language and one for all
     out = {}
@@ -358,18 +442,36 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def learned(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Models | None:
+def learned(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Models | SpreadModels | None:
     """Models from the labelled documents that are not held out."""
     return fit(docs.where(~is_held_out(F.col("doc_id"))).select("lang", "text"), max_grams)
 
 
-def with_language(docs: DataFrame, models: Models | None, text: str = "text") -> DataFrame:
+def joined_languages(docs: DataFrame, models: SpreadModels, text: str) -> DataFrame:
+    """``docs`` with the struct ``OUT`` as ``_found``."""
+    rows = materialised(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col("_row").alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    scored = models.entropies(texts).select(F.col("row").alias("_row"), F.col("entropy").alias("_h"), F.col("number").alias("_n"))
+    languages, limit = models.languages, models.limits
+
+    def each(entropy: pd.Series, number: pd.Series) -> pd.DataFrame:
+        return verdicts(languages, limit, np.stack([*entropy]) if len(entropy) else np.zeros((0, len(languages))), number.to_numpy())
+
+    none = F.array(*[F.lit(0.0)] * len(languages))
+    found = F.pandas_udf(each, OUT)(F.coalesce("_h", none), F.coalesce("_n", F.lit(0)).cast("bigint"))
+    return rows.join(scored, "_row", "left").withColumn("_found", found).drop("_row", "_h", "_n")
+
+
+def with_language(docs: DataFrame, models: Models | SpreadModels | None, text: str = "text") -> DataFrame:
     """Add lang_pred, score, entropy, n_symbols and rejected."""
     names = [c.split()[0] for c in OUT.split(", ")]
     if models is None:
         nothing = {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "entropy": F.lit(0.0)}
         return docs.withColumns(nothing | {"n_symbols": F.lit(0).cast("bigint"), "rejected": F.lit(True)})
-    shared = docs.sparkSession.sparkContext.broadcast(models)
     kept = [c for c in docs.columns if c not in names]
-    found = docs.withColumn("_found", identified(F.col(text), shared))
+    if isinstance(models, SpreadModels):
+        found = joined_languages(docs, models, text)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(models)
+        found = docs.withColumn("_found", identified(F.col(text), shared))
     return found.select(*kept, *[F.col(f"_found.{n}").alias(n) for n in names])
