@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import byte_bpe, language_id, line_dedup, mixing, shingle_dedup
+from sessionloom.llm import byte_bpe, golay_simhash, language_id, line_dedup, mixing
 from sessionloom.llm.common import prepared, table
 from sessionloom.llm.queries import byte_vocabulary
 from sessionloom.session import materialised
@@ -33,9 +33,9 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group (five-word shingles, Jaccard 0.8 or more)."""
+    """Keep one document of each SimHash group: op10's three-word shingles, fingerprints within 3 bits."""
     prepared(spark)
-    return shingle_dedup.one_per_group(docs)
+    return golay_simhash.one_per_group(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialised
 from .buckets import components, links_in_groups, shared_buckets
@@ -151,7 +152,9 @@ def close(rows: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def fingerprint_groups(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``prints(doc_id, fingerprint long)`` -> one row per fingerprint: fingerprint, component_id."""
     nodes = materialised(prints.groupBy(F.col("fingerprint").alias("node")).agg(F.min(doc_id).alias("least")), "prints")
-    edges = links_in_groups(shared_buckets(keyed(nodes.select("node"))), close, "long")
+    # eight bytes make about 85 key rows: spread the nodes before their keys are made
+    pieces = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = links_in_groups(shared_buckets(keyed(nodes.select("node").repartition(pieces, "node"))), close, "long")
     roots = materialised(components(edges), "roots")
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -169,9 +172,13 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Keep the document with the smallest id of each group, all columns as they are.
 
-    Repeated rows of that id are one document and one of them stays; documents without an id all stay.
+    Rows repeating that id are one document: the one whose text digest is least stays (a null text
+    counts as empty), so reruns agree. Documents without an id all stay.
     """
     found = simhash_components(docs, doc_id, text)
     heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
-    named = docs.join(heads, F.col(doc_id) == F.col("_head"), "left_semi").dropDuplicates([doc_id])
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+    named = docs.join(heads, F.col(doc_id) == F.col("_head"), "left_semi")
+    digest = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
+    order = Window.partitionBy(doc_id).orderBy(digest)
+    first = named.withColumn("_pick", F.row_number().over(order)).where("_pick = 1").drop("_pick")
+    return first.unionByName(docs.where(F.col(doc_id).isNull()))
