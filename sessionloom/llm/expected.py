@@ -216,6 +216,57 @@ FROM c
 """
 
 
+def divergence() -> str:
+    """Dense over every group and kept term; 10 documents, 1e9 scale and 10 terms stated here."""
+    return r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, row_number() OVER () AS rid
+  FROM documents
+),
+t AS (
+  SELECT lang, source, rid, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+),
+gt AS (SELECT lang, source, term, count(*) AS cnt, count(DISTINCT rid) AS ndocs FROM t GROUP BY ALL),
+k AS (SELECT lang, term, sum(cnt) AS lcnt FROM gt GROUP BY lang, term HAVING sum(ndocs) >= 10),
+v AS (SELECT lang, count(*)::HUGEINT AS nv, sum(lcnt)::HUGEINT AS nl FROM k GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+gk AS (
+  SELECT g.lang, g.source, k.term, coalesce(gt.cnt, 0)::HUGEINT AS cnt
+  FROM grp g JOIN k ON g.lang = k.lang
+  LEFT JOIN gt ON gt.lang = g.lang AND gt.source = g.source AND gt.term = k.term
+),
+gn AS (SELECT lang, source, sum(cnt) AS n FROM gk GROUP BY ALL),
+gp AS (
+  SELECT gk.lang, gk.source, gk.term, gk.cnt, 1 + (1000000000 * (gk.cnt + 2)) // (gn.n + 2 * v.nv) AS p
+  FROM gk JOIN gn ON gk.lang = gn.lang AND gk.source = gn.source JOIN v ON gk.lang = v.lang
+),
+lp AS (SELECT k.lang, k.term, 1 + (1000000000 * (k.lcnt + 2)) // (v.nl + 2 * v.nv) AS q FROM k JOIN v ON k.lang = v.lang),
+ps AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM gp a JOIN gp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(ps.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN ps ON ps.lang = a.lang AND ps.source = a.source AND ps.item = b.source
+),
+terms AS (
+  SELECT gp.lang, gp.source, 'term' AS part, gp.term AS item, (gp.p - lp.q) * (gp.p - lp.q) // (gp.p + lp.q) AS value
+  FROM gp JOIN lp ON gp.lang = lp.lang AND gp.term = lp.term
+  WHERE gp.cnt > 0 AND gp.p > lp.q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item ASC) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def llm_expected() -> dict[str, str]:
     return {
         "op3_rendezvous_shards": shards(),
@@ -223,4 +274,5 @@ def llm_expected() -> dict[str, str]:
         "op5_chat_rotation": chat(),
         "op6_adaptive_quality": quality(),
         "op8_systematic_mix": mixture(),
+        "op13_source_divergence": divergence(),
     }

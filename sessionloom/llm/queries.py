@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_rotation, golay_simhash, language_id, lattice_dedup, line_dedup, mixing, quality_rules
+from . import byte_bpe, chat_rotation, divergence, golay_simhash, language_id, lattice_dedup, line_dedup, mixing, quality_rules
 from . import rendezvous, token_prefix
 from .common import table
 
@@ -88,6 +88,10 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,6 +110,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_systematic_mix,
         op9_byte_bpe,
         op10_golay_simhash,
+        op13_source_divergence,
         pipeline,
     )
     return {f.__name__: f for f in ops}
