@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_rotation, divergence, golay_simhash, language_id, lattice_dedup, line_dedup, mixing, quality_rules
+from . import byte_bpe, chat_rotation, divergence, golay_simhash, language_id, lattice_dedup, line_dedup, merkle, mixing
+from . import quality_rules
 from . import rendezvous, token_prefix
 from .common import table
 
 SHARDS = 40
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOKEN_LIMIT = 2048
 
 
@@ -88,6 +90,19 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # rows whose unsigned crc32 of the decimal doc_id is a multiple of 3 get A-Z lower-cased (nulls stay)
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    text = F.when(chosen, F.translate("text", UPPER, UPPER.lower())).otherwise(F.col("text"))
+    fields = [merkle.field(c) for c in ("doc_id", "source", "lang", "n_chars")] + [merkle.field(text)]
+    built = merkle.manifest(docs, carry={"tampered": merkle.digest(*fields)})
+    folded = merkle.fold(F.col("tampered"), F.col("path"))
+    return built.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", folded.alias("folded_root"), (folded == F.col("root")).alias("verified")
+    )
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
@@ -110,6 +125,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_systematic_mix,
         op9_byte_bpe,
         op10_golay_simhash,
+        op11_merkle_manifest,
         op13_source_divergence,
         pipeline,
     )
