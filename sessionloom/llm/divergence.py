@@ -17,8 +17,10 @@ language does (p > q), value f, the ``TOP_TERMS`` first. Rank from 1 by value de
 bytes ascending.
 
 Sparse pair sums. For sources s, s' the sum runs over the terms either uses; terms neither uses share one value
-f(p0_s, p0_s') (p0: p at c = 0) and are counted, not listed. Work is (sources of the language) x (terms a
-source uses), never (sources)^2 x V.
+f(p0_s, p0_s') (p0: p at c = 0) and are counted, not listed. Each kept term is one row holding the sources
+that use it; each of them meets every other source of the language inside the task, and hash aggregation
+sums per (lang, source, other) before the shuffle, so what moves is a few rows per pair and task. Work is
+(sources of the language) x (terms a source uses), never (sources)^2 x V.
 
 Defined results: null lang, source and text read as ''; a group whose documents have no kept term still has
 its pair rows (value from p0 alone, 0 if V = 0) and no term rows; a language of one source has no pair rows;
@@ -55,21 +57,30 @@ def document_terms(text: str) -> Counter:
 
 
 def term_rows(docs: DataFrame) -> DataFrame:
-    """``docs(lang, source, text)`` (no nulls) -> one row per document and term: lang, source, term, n."""
+    """``docs(lang, source, text)`` (no nulls) -> per Arrow batch and (lang, source, term): c (occurrences) and
+    docs (documents holding it), summed over the batch's documents before they leave the worker."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            langs, sources, terms, counts = [], [], [], []
+            seen: dict[tuple[str, str, bytes], list[int]] = {}
             for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
                 for term, n in document_terms(text).items():
-                    langs.append(lang)
-                    sources.append(source)
-                    terms.append(term.decode("utf-8", "surrogatepass"))
-                    counts.append(n)
-            if terms:  # a batch without terms yields nothing
-                yield pd.DataFrame({"lang": langs, "source": sources, "term": terms, "n": pd.Series(counts, dtype="int64")})
-
-    return docs.mapInPandas(task, "lang string, source string, term string, n long")
+                    cell = seen.setdefault((lang, source, term), [0, 0])
+                    cell[0] += n
+                    cell[1] += 1
+            if seen:  # a batch without terms yields nothing
+                keys, cells = zip(*seen.items(), strict=True)
+                yield pd.DataFrame(
+                    {
+                        "lang": [k[0] for k in keys],
+                        "source": [k[1] for k in keys],
+                        "term": [k[2].decode("utf-8", "surrogatepass") for k in keys],
+                        "c": pd.Series([v[0] for v in cells], dtype="int64"),
+                        "docs": pd.Series([v[1] for v in cells], dtype="int64"),
+                    }
+                )
+
+    return docs.mapInPandas(task, "lang string, source string, term string, c long, docs long")
 
 
 def _p(count: str, total: str, kept: str) -> Column:
@@ -106,7 +117,7 @@ def source_divergence(
     )
     groups = materialised(plain.select("lang", "source").distinct(), "divergence-groups")
     counted = materialised(
-        term_rows(plain).groupBy("lang", "source", "term").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("docs")),
+        term_rows(plain).groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("docs").alias("docs")),
         "divergence-counts",
     )
     in_lang = counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("c").alias("c"))
@@ -125,24 +136,27 @@ def source_divergence(
         "divergence-scored",
     )
 
-    # pair: every term a source uses against each other source of its language
-    others = group.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0"))
-    against = scored.join(others, "lang").where(F.col("source") != F.col("other"))
-    peer = scored.select("lang", F.col("source").alias("other"), "term", F.col("p").alias("q"))
-    met = against.join(peer, ["lang", "other", "term"], "left").select(
-        "lang", "source", "other", _f("p", "coalesce(q, q0)").alias("f"), F.col("q").isNotNull().alias("both")
-    )
-    met = materialised(met, "divergence-met")
-    own = met.groupBy("lang", "source", "other").agg(F.sum("f").alias("f1"), F.count(F.lit(1)).alias("n1"))
-    theirs = (
-        met.where(~F.col("both"))
-        .groupBy("lang", F.col("other").alias("source"), F.col("source").alias("other"))
-        .agg(F.sum("f").alias("f2"), F.count(F.lit(1)).alias("n2"))
+    # pair: one row per (lang, term) holding the sources that use it; each such source meets every other source
+    # of the language in memory, and only partial sums per (source, other) leave the task
+    everyone = group.groupBy("lang").agg(F.collect_list(F.struct(F.col("source").alias("o"), F.col("p0").alias("q0"))).alias("all"))
+    users = scored.groupBy("lang", "term").agg(F.map_from_entries(F.collect_list(F.struct("source", "p"))).alias("use"))
+    met = users.join(everyone, "lang").select("lang", "use", "all", F.explode(F.map_keys("use")).alias("source"))
+    met = met.select("lang", "source", F.element_at("use", F.col("source")).alias("p"), "use", F.explode("all").alias("b"))
+    met = met.where(F.col("b.o") != F.col("source")).select(
+        "lang", "source", F.col("b.o").alias("other"), "p", F.col("b.q0").alias("q0"), F.try_element_at("use", F.col("b.o")).alias("q")
     )
+    met = met.withColumn("f", _f("p", "coalesce(q, q0)"))
+    # a term the other source lacks also counts, with the same f, for the pair seen from that source
+    sides = F.array(F.struct(F.col("source").alias("s"), F.col("other").alias("t")))
+    both_sides = F.array(sides[0], F.struct(F.col("other").alias("s"), F.col("source").alias("t")))
+    mirrored = F.when(F.col("q").isNull(), both_sides).otherwise(sides)
+    met = met.select("lang", "f", F.explode(mirrored).alias("x")).select("lang", F.col("x.s").alias("source"), F.col("x.t").alias("other"), "f")
+    summed = met.groupBy("lang", "source", "other").agg(F.sum("f").alias("f1"), F.count(F.lit(1)).alias("n1"))
+    others = group.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0"))
     pairs = group.join(others, "lang").where(F.col("source") != F.col("other"))
-    pairs = pairs.join(own, ["lang", "source", "other"], "left").join(theirs, ["lang", "source", "other"], "left")
-    rest = F.col("V") - F.coalesce("n1", F.lit(0)) - F.coalesce("n2", F.lit(0))
-    value = F.coalesce("f1", F.lit(0)) + F.coalesce("f2", F.lit(0)) + rest * F.coalesce(_f("p0", "q0"), F.lit(0))
+    pairs = pairs.join(summed, ["lang", "source", "other"], "left")
+    rest = F.col("V") - F.coalesce("n1", F.lit(0))
+    value = F.coalesce("f1", F.lit(0)) + rest * F.coalesce(_f("p0", "q0"), F.lit(0))
     pair_rows = pairs.select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), value.cast("long").alias("value"))
 
     # term: terms a source uses more than its language
