@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_rotation, divergence, golay_simhash, language_id, lattice_dedup, line_dedup, merkle, mixing
+from . import byte_bpe, chat_rotation, divergence, golay_simhash, hmm_lm, language_id, lattice_dedup, line_dedup, merkle, mixing
 from . import quality_rules
 from . import rendezvous, token_prefix
 from .common import table
@@ -103,6 +103,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
@@ -126,6 +130,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_byte_bpe,
         op10_golay_simhash,
         op11_merkle_manifest,
+        op12_hmm_scores,
         op13_source_divergence,
         pipeline,
     )
