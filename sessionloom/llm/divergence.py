@@ -43,6 +43,8 @@ from ..session import materialised
 MIN_DOCS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
+# distinct (lang, source, term) entries a task holds before it hands them on
+FLUSH = 500_000
 # salt of the top-k: a hot source's terms are ranked in this many pieces first
 PIECES = 32
 
@@ -56,29 +58,38 @@ def document_terms(text: str) -> Counter:
     return Counter(text.encode("utf-8", "surrogatepass").translate(TABLE).split())
 
 
-def term_rows(docs: DataFrame) -> DataFrame:
-    """``docs(lang, source, text)`` (no nulls) -> per Arrow batch and (lang, source, term): c (occurrences) and
-    docs (documents holding it), summed over the batch's documents before they leave the worker."""
+def term_rows(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
+    """``docs(lang, source, text)`` (no nulls) -> per (lang, source, term): c (occurrences) and docs (documents
+    holding it), summed in the worker over the documents of a task until ``flush`` entries are held."""
+
+    def rows(held: dict) -> pd.DataFrame:
+        keys = [(g, term) for g, (counts, _) in held.items() for term in counts]
+        return pd.DataFrame(
+            {
+                "lang": [g[0] for g, _ in keys],
+                "source": [g[1] for g, _ in keys],
+                "term": [t.decode("utf-8", "surrogatepass") for _, t in keys],
+                "c": pd.Series([held[g][0][t] for g, t in keys], dtype="int64"),
+                "docs": pd.Series([held[g][1][t] for g, t in keys], dtype="int64"),
+            }
+        )
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        size = 0
         for batch in batches:
-            seen: dict[tuple[str, str, bytes], list[int]] = {}
             for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-                for term, n in document_terms(text).items():
-                    cell = seen.setdefault((lang, source, term), [0, 0])
-                    cell[0] += n
-                    cell[1] += 1
-            if seen:  # a batch without terms yields nothing
-                keys, cells = zip(*seen.items(), strict=True)
-                yield pd.DataFrame(
-                    {
-                        "lang": [k[0] for k in keys],
-                        "source": [k[1] for k in keys],
-                        "term": [k[2].decode("utf-8", "surrogatepass") for k in keys],
-                        "c": pd.Series([v[0] for v in cells], dtype="int64"),
-                        "docs": pd.Series([v[1] for v in cells], dtype="int64"),
-                    }
-                )
+                terms = text.encode("utf-8", "surrogatepass").translate(TABLE).split()
+                counts, docs_ = held.setdefault((lang, source), (Counter(), Counter()))
+                before = len(counts)
+                counts.update(terms)
+                docs_.update(set(terms))
+                size += len(counts) - before
+            if size > flush:
+                yield rows(held)
+                held, size = {}, 0
+        if size:
+            yield rows(held)
 
     return docs.mapInPandas(task, "lang string, source string, term string, c long, docs long")
 
