@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from ..config import make_config
 from ..functions.numeric import round_half_up
 from ..functions.text import segment_label
+from .kmeans_batch import fit_many, nearest
 from .ranking import sample_rows
 from .textsignals import unit_features
 
@@ -180,9 +181,15 @@ def find_best_k(
     folded = folded_vectors(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     scores: dict[int, float] = {}
     try:
+        # every k and restart in one scan per round (kmeans_batch); the best restart of each k is scored
+        fits = fit_many(folded, list(k_range), restarts, seed=seed, max_iter=max_iter, weight_col="weight")
         for k in k_range:
-            model, _ = train_kmeans(folded, k, max_iter=max_iter, seed=seed, restarts=restarts, weight_col="weight")
-            scores[k] = squared_silhouette(assign_segments(vectors, model))
+            tries = [fits[(k, r)] for r in range(restarts) if (k, r) in fits]
+            if not tries:
+                scores[k] = 0.0
+                continue
+            centres = min(tries, key=lambda f: f[1])[0]
+            scores[k] = squared_silhouette(vectors.withColumn("segment_id", nearest("features", centres)))
     finally:
         folded.unpersist()
         vectors.unpersist()
