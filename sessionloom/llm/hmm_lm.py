@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from functools import lru_cache
 from collections import Counter
 from collections.abc import Iterator
 
@@ -56,7 +57,9 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split() + [END]
 
 
+@lru_cache(maxsize=1 << 16)
 def shape(word: bytes) -> int:
+    """Shape class of a token (memoised: frequent tokens repeat)."""
     if word == END:
         return SHAPES - 1
     band = next((k for k, most in enumerate(BANDS) if len(word) <= most), len(BANDS))
