@@ -15,7 +15,7 @@ Distribution. Vocabulary counts are a Spark table (every training token, no cut-
 distinct tokens of each document; only per-shape totals (at most 36 rows) and the states' parameters
 (STATES x 36 + STATES^2 numbers) reach the driver and the tasks. Each E-step task packs documents of its
 partition into lanes (longest first into the least loaded lane, documents of at most ``CHUNK`` tokens at a
-time, so memory is bounded whatever the partition) and runs the scaled forward-backward recursion on all
+time, shortest first, lanes so that steps x lanes stays near CHUNK; memory is bounded whatever the partition) and runs the scaled forward-backward recursion on all
 lanes at once with numpy; expected counts are summed by Spark over partitions.
 
 Defined results: null doc_id is neither learned from nor held out (held_out null); repeated rows are scored
@@ -42,8 +42,8 @@ STATES = 8
 ITERATIONS = 8
 SEED = 3
 HOLD_OUT = (7, 2)  # crc32 of the decimal doc_id modulo 7 equal to 2 is held out
-CHUNK = 1 << 20  # tokens packed into lanes at once
-LANES = 256
+CHUNK = 1 << 20  # tokens packed into lanes at once: time steps x lanes stays near this
+LANES = 2048
 END = b"\n"
 BANDS = (1, 2, 3, 4, 6, 9)  # byte lengths up to these, then longer: seven bands
 KINDS = 5
@@ -129,8 +129,8 @@ def forward(obs, start, doc, pi, A, B, keep: bool):
 def log_likelihoods(seqs: list[np.ndarray], pi, A, B) -> np.ndarray:
     """Natural log probability of each shape sequence."""
     out = np.zeros(len(seqs))
-    for members in chunks(seqs):
-        obs, start, doc = pack([seqs[j] for j in members])
+    for members, lanes in chunks(seqs):
+        obs, start, doc = pack([seqs[j] for j in members], lanes)
         _, scale = forward(obs, start, doc, pi, A, B, keep=False)
         valid = doc >= 0
         out[members] = np.bincount(doc[valid], weights=np.log(scale[valid]), minlength=len(members))
@@ -140,9 +140,9 @@ def log_likelihoods(seqs: list[np.ndarray], pi, A, B) -> np.ndarray:
 def expected_counts(seqs: list[np.ndarray], pi, A, B) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch counts: initial (K), transitions (K x K), emissions (K x shapes), log likelihood."""
     K, C = B.shape
-    starts, moves, emits, total = np.zeros(K), np.zeros((K, K)), np.zeros((C, K)), 0.0
-    for members in chunks(seqs):
-        obs, start, doc = pack([seqs[j] for j in members])
+    starts, moves, emits, total = np.zeros(K), np.zeros((K, K)), np.zeros((K, C)), 0.0
+    for members, lanes in chunks(seqs):
+        obs, start, doc = pack([seqs[j] for j in members], lanes)
         alpha, scale = forward(obs, start, doc, pi, A, B, keep=True)
         valid = doc >= 0
         total += float(np.log(scale[valid]).sum())
@@ -150,28 +150,32 @@ def expected_counts(seqs: list[np.ndarray], pi, A, B) -> tuple[np.ndarray, np.nd
         beta = np.ones((obs.shape[1], K))
         for t in range(obs.shape[0] - 1, -1, -1):
             g = alpha[t] * beta * valid[t][:, None]
-            np.add.at(emits, obs[t], g)
             starts += (g * start[t][:, None]).sum(0)
-            if t == 0:
-                break
-            inside = valid[t] & ~start[t]
-            w = Bt[obs[t]] * beta / scale[t][:, None]
-            moves += A * ((alpha[t - 1] * inside[:, None]).T @ w)
-            beta = np.where(inside[:, None], w @ A.T, 1.0)
-    return starts, moves, emits.T, total
-
-
-def chunks(seqs: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """Indices of documents taken together, at most CHUNK tokens (or one longer document)."""
+            if t > 0:
+                inside = valid[t] & ~start[t]
+                w = Bt[obs[t]] * beta / scale[t][:, None]
+                moves += A * ((alpha[t - 1] * inside[:, None]).T @ w)
+                beta = np.where(inside[:, None], w @ A.T, 1.0)
+            alpha[t] = g  # alpha[t] is not needed again: keep the posteriors in its place
+        flat = obs.ravel()
+        for k in range(K):
+            emits[k] += np.bincount(flat, weights=alpha[:, :, k].ravel(), minlength=C)
+    return starts, moves, emits, total
+
+
+def chunks(seqs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, int]]:
+    """Documents taken together, by length: indices and lanes, so that time steps x lanes stays near CHUNK
+    (a longer document alone in one lane)."""
+    order = sorted(range(len(seqs)), key=lambda j: len(seqs[j]))
     members, size = [], 0
-    for j, s in enumerate(seqs):
-        if members and size + len(s) > CHUNK:
-            yield np.array(members)
+    for j in order:
+        if members and size + len(seqs[j]) > CHUNK:
+            yield np.array(members), max(1, min(LANES, size // max(len(seqs[members[-1]]), 1)))
             members, size = [], 0
         members.append(j)
-        size += len(s)
+        size += len(seqs[j])
     if members:
-        yield np.array(members)
+        yield np.array(members), max(1, min(LANES, size // max(len(seqs[members[-1]]), 1)))
 
 
 def start_parameters(states: int = STATES, seed: int = SEED):
