@@ -1,90 +1,137 @@
 """Many K-Means models fitted at once: every k and every restart share one scan of the vectors per round.
 
-Each round, a task reads its vectors once and, for every model still moving, finds each vector's nearest
-centre and adds it to that centre's weighted sum; Spark sums these partial sums over tasks (at most models x
-k x (dimensions + 1) rows, whatever the number of vectors), and the driver moves the centres. A model whose
-centres all moved by at most ``tol`` is converged and leaves the scan, so a search costs as many rounds as
-its slowest fit, not the sum of all fits. A cluster that gets no vector keeps its centre.
+Each round, a task reads its vectors in Arrow batches and multiplies them once with the centres of all models
+still moving; every model's nearest centres make one 0/1 matrix whose product with the vectors is the weighted
+sum of each centre. Spark adds these partial sums over tasks (at most models x k x (dimensions + 2) numbers,
+whatever the number of vectors), and the driver moves the centres. A model whose centres all moved by at most
+``tol`` is converged and leaves the scan, so a search costs as many rounds as its slowest fit, not the sum of
+all fits. A cluster that gets no vector keeps its centre.
 
 Seeding is k-means++ per model (weighted by ``weight``, its own seed per restart) on a seeded sample of at
-most ``INIT_ROWS`` distinct vectors, chosen by a hash order of the vectors and so alike at every size;
-Lloyd's rounds and the final inertia run over all rows.
+most ``INIT_ROWS`` distinct vectors, chosen by a hash order of the vectors and so alike at every size, unless
+the caller gives the first centres; Lloyd's rounds, the final inertia and the silhouettes run over all rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialised
+
 INIT_ROWS = 20_000
+# Vectors multiplied with all centres at a time.
+_STEP = 2_048
+
+
+def vector_arrays(vectors: DataFrame, features_col: str = "features", weight_col: str | None = None) -> DataFrame:
+    """(x array<double>, w double) of ML vectors or arrays: what every scan here reads."""
+    is_array = dict(vectors.dtypes)[features_col].startswith("array")
+    x = F.col(features_col).cast("array<double>") if is_array else vector_to_array(features_col)
+    w = F.col(weight_col) if weight_col else F.lit(1.0)
+    return vectors.select(x.alias("x"), w.cast("double").alias("w"))
+
+
+def stored_vectors(vectors: DataFrame, features_col: str = "features", weight_col: str | None = None) -> DataFrame:
+    """``vector_arrays`` written once in files of even size and persisted: a round's tasks follow from the size of
+    the vectors, not from the shuffle partitions or the input splits of the plan that made them."""
+    even = vector_arrays(vectors, features_col, weight_col).hint("rebalance")
+    return materialised(even, "vectors").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _matrix(x: pa.ListArray) -> np.ndarray:
+    """The vectors of an Arrow column as the rows of one matrix, without a copy."""
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
 
 
 def seeding_rows(vectors: DataFrame, seed: int, features_col: str = "features", weight_col: str | None = None, rows: int = INIT_ROWS):
     """(X, w) of a seeded sample of at most ``rows`` vectors, in a fixed order."""
-    x = vector_to_array(features_col).alias("x")
-    w = (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w")
-    taken = vectors.select(x, w).withColumn("_o", F.xxhash64(F.lit(seed), "x")).orderBy("_o", "x").limit(rows).collect()
-    if not taken:
+    arrays = vector_arrays(vectors, features_col, weight_col)
+    taken = arrays.withColumn("_o", F.xxhash64(F.lit(seed), "x")).orderBy("_o", "x").limit(rows).toArrow()
+    if not taken.num_rows:
         return np.zeros((0, 0)), np.zeros(0)
-    return np.array([r["x"] for r in taken], float), np.array([r["w"] for r in taken], float)
+    return _matrix(taken["x"].combine_chunks()), taken["w"].to_numpy()
 
 
 def plus_plus(X: np.ndarray, w: np.ndarray, k: int, seed: int) -> np.ndarray:
     """Weighted k-means++ seeding; repeats a point when fewer than k distinct ones exist."""
     rng = np.random.default_rng(seed)
+    squares = (X * X).sum(1)
+
+    def apart(pick: int) -> np.ndarray:
+        d = squares - 2 * (X @ X[pick]) + squares[pick]
+        return np.where(d > 1e-12 * (squares + squares[pick]), d, 0.0)  # what rounding leaves of a copy is 0
+
     chosen = [int(rng.choice(len(X), p=w / w.sum()))]
-    near = ((X - X[chosen[0]]) ** 2).sum(1)
+    near = apart(chosen[0])
     for _ in range(1, k):
         weight = near * w
         pick = int(rng.choice(len(X), p=weight / weight.sum())) if weight.sum() > 0 else chosen[-1]
         chosen.append(pick)
-        near = np.minimum(near, ((X - X[pick]) ** 2).sum(1))
+        near = np.minimum(near, apart(pick))
     return X[chosen].copy()
 
 
-def _round(arrays: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
-    """One scan: per model the weighted sums and counts of each centre's vectors, and the inertia."""
+def _sizes(models: dict[int, np.ndarray]) -> dict[int, slice]:
+    """Each model's rows in the stacked centres of all models."""
+    ends = np.cumsum([len(c) for c in models.values()])
+    return {m: slice(int(end) - len(c), int(end)) for (m, c), end in zip(models.items(), ends, strict=True)}
+
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {m: np.zeros_like(c) for m, c in models.items()}
-        counts = {m: np.zeros(len(c)) for m, c in models.items()}
-        cost = dict.fromkeys(models, 0.0)
-        for b in batches:
-            if not len(b):
+def _summed(arrays: DataFrame, size: int, add: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> np.ndarray:
+    """One scan: ``add(X, w, total)`` adds a few vectors to a task's ``total`` of ``size`` numbers; Spark sums these."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(size), False
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            X, w = np.stack(b["x"].to_numpy()), b["w"].to_numpy(float)
-            xx = (X * X).sum(1)
-            for m, c in models.items():
-                d = xx[:, None] - 2 * X @ c.T + (c * c).sum(1)[None, :]
-                j = d.argmin(1)
-                np.add.at(sums[m], j, X * w[:, None])
-                counts[m] += np.bincount(j, weights=w, minlength=len(c))
-                cost[m] += float((np.maximum(d[np.arange(len(j)), j], 0) * w).sum())
-        m_, j_, p_, v_ = [], [], [], []
-        for m, s in sums.items():
-            k, dims = s.shape
-            m_ += [m] * (k * (dims + 1) + 1)
-            j_ += np.repeat(np.arange(k), dims + 1).tolist() + [-1]
-            p_ += np.tile(np.arange(-1, dims), k).tolist() + [0]
-            v_ += np.column_stack([counts[m], s]).ravel().tolist() + [cost[m]]
-        yield pd.DataFrame({"m": m_, "j": j_, "p": p_, "v": v_})
-
-    parts = arrays.mapInPandas(task, "m int, j int, p int, v double").groupBy("m", "j", "p").agg(F.sum("v").alias("v"))
-    got = {(r["m"], r["j"], r["p"]): r["v"] for r in parts.collect()}  # models x k x (dims + 1) rows at most
-    out = {}
-    for m, c in models.items():
-        k, dims = c.shape
-        n = np.array([got.get((m, j, -1), 0.0) for j in range(k)])
-        s = np.array([[got.get((m, j, p), 0.0) for p in range(dims)] for j in range(k)])
-        out[m] = (s, n, got.get((m, -1, 0), 0.0))
+            X, w, seen = _matrix(batch.column("x")), batch.column("w").to_numpy(zero_copy_only=False), True
+            for at in range(0, len(X), _STEP):
+                add(X[at : at + _STEP], w[at : at + _STEP], total)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["p", "v"])
+
+    parts = arrays.mapInArrow(task, "p long, v double").groupBy("p").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(size)
+    out[parts["p"].to_numpy()] = parts["v"].to_numpy()
     return out
 
 
+def _round(arrays: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+    """One scan: per model the weighted sums, counts and squared lengths of each centre's vectors, and the inertia."""
+    where, C = _sizes(models), np.concatenate(list(models.values()))
+    rows, dims = C.shape
+    squares = (C * C).sum(1)
+
+    def add(X: np.ndarray, w: np.ndarray, total: np.ndarray) -> None:
+        own = np.zeros((len(X), rows))
+        at, xx = np.arange(len(X)), (X * X).sum(1)
+        d = squares - 2 * (X @ C.T)
+        costs = total[rows * (dims + 2) :]
+        for i, part in enumerate(where.values()):
+            j = d[:, part].argmin(1) + part.start
+            own[at, j] = w
+            costs[i] += float((np.maximum(d[at, j] + xx, 0) * w).sum())
+        per_centre = total[: rows * (dims + 2)].reshape(rows, dims + 2)
+        per_centre[:, 0] += own.sum(0)
+        per_centre[:, 1] += xx @ own
+        per_centre[:, 2:] += own.T @ X
+
+    got = _summed(arrays, rows * (dims + 2) + len(models), add)
+    table = got[: rows * (dims + 2)].reshape(rows, dims + 2)
+    return {
+        m: (table[part, 2:], table[part, 0], table[part, 1], float(got[rows * (dims + 2) + i]))
+        for i, (m, part) in enumerate(where.items())
+    }
+
+
 def fit_many(
     vectors: DataFrame,
     ks: Sequence[int],
@@ -97,7 +144,7 @@ def fit_many(
     init: dict[tuple[int, int], np.ndarray] | None = None,
 ) -> dict[tuple[int, int], tuple[np.ndarray, float, int]]:
     """Centres, inertia and rounds of every (k, restart). ``vectors`` should be persisted."""
-    arrays = vectors.select(vector_to_array(features_col).alias("x"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("w"))
+    arrays = vector_arrays(vectors, features_col, weight_col)
     keys = [(k, r) for k in ks for r in range(restarts)]
     if init is None:
         X, w = seeding_rows(vectors, seed, features_col, weight_col)
@@ -110,15 +157,53 @@ def fit_many(
     for _ in range(max_iter):
         if not moving:
             break
-        sums = _round(arrays, {m: centres[m] for m in moving})
-        for m, (s, n, _) in sums.items():
+        sums = _round(arrays, {m: centres[m] for m in sorted(moving)})
+        for m, (s, n, _, _) in sums.items():
             moved = np.where(n[:, None] > 0, s / np.maximum(n, 1e-300)[:, None], centres[m])
             shift = np.sqrt(((moved - centres[m]) ** 2).sum(1)).max()
             centres[m], rounds[m] = moved, rounds[m] + 1
             if shift <= tol:
                 moving.discard(m)
     final = _round(arrays, centres)
-    return {key: (centres[i], final[i][2], rounds[i]) for i, key in enumerate(keys)}
+    return {key: (centres[i], final[i][3], rounds[i]) for i, key in enumerate(keys)}
+
+
+def silhouettes(
+    vectors: DataFrame, models: dict[int, np.ndarray], features_col: str = "features", weight_col: str | None = None
+) -> dict[int, float]:
+    """Squared Euclidean silhouette over all rows of every model's nearest-centre clusters, in two scans.
+
+    The first sums each cluster, the second measures every vector against these sums: the definition of Spark's
+    ``ClusteringEvaluator``, where a vector of weight w counts as w equal rows. 0 for fewer than two clusters.
+    """
+    if not models:
+        return {}
+    arrays = vector_arrays(vectors, features_col, weight_col)
+    where, C = _sizes(models), np.concatenate(list(models.values()))
+    squares = (C * C).sum(1)
+    sums = _round(arrays, models)
+    n = np.concatenate([sums[m][1] for m in models])
+    size = np.maximum(n, 1e-300)
+    means = np.concatenate([sums[m][0] for m in models]) / size[:, None]
+    spread = np.concatenate([sums[m][2] for m in models]) / size
+
+    def add(X: np.ndarray, w: np.ndarray, total: np.ndarray) -> None:
+        at, xx = np.arange(len(X)), (X * X).sum(1)
+        near = squares - 2 * (X @ C.T)
+        mean = np.maximum(xx[:, None] + spread - 2 * (X @ means.T), 0.0)  # mean squared distance to each cluster
+        for i, part in enumerate(where.values()):
+            j = near[:, part].argmin(1)
+            peers = n[part][j] - 1.0
+            inner = np.divide(mean[:, part][at, j] * n[part][j], peers, out=np.zeros(len(X)), where=peers > 0)
+            others = np.where(n[part] > 0, mean[:, part], np.inf)
+            others[at, j] = np.inf
+            outer = others.min(1)
+            top = np.maximum(inner, outer)
+            valid = (peers > 0) & np.isfinite(outer) & (top > 0)
+            total[i] += float((np.divide(outer - inner, top, out=np.zeros(len(X)), where=valid) * w).sum())
+
+    got = _summed(arrays, len(models), add)
+    return {m: float(got[i] / n[part].sum()) if n[part].sum() > 0 else 0.0 for i, (m, part) in enumerate(where.items())}
 
 
 def nearest(features_col: str, centres: np.ndarray) -> Column:

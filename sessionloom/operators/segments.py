@@ -11,15 +11,16 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..config import make_config
 from ..functions.numeric import round_half_up
 from ..functions.text import segment_label
-from .kmeans_batch import fit_many, nearest
+from .kmeans_batch import fit_many, silhouettes, stored_vectors
 from .ranking import sample_rows
 from .textsignals import unit_features
 
@@ -127,24 +128,34 @@ def train_kmeans(
 ) -> tuple[KMeansModel, float]:
     """Best of several seeded fits and its inertia. ``vectors`` should be unit length and persisted.
 
-    ``weight_col`` counts how often a vector occurs (see ``folded_vectors``). ``k-means++`` is accepted and means its parallel form ``k-means||``.
+    Each restart's first centres are MLlib's over all rows; then all restarts move together, one scan a round
+    (``kmeans_batch``). ``weight_col`` counts how often a vector occurs (see ``folded_vectors``). ``k-means++``
+    is accepted and means its parallel form ``k-means||``.
     """
     mode = "k-means||" if init == "k-means++" else init
-    best: tuple[KMeansModel, float] | None = None
-    for attempt in range(restarts):
-        fit = KMeans(
-            k=n_clusters,
-            initMode=mode,
-            maxIter=max_iter,
-            seed=seed + attempt,
-            featuresCol=features_col,
-            predictionCol="segment_id",
-        )
-        model = (fit.setWeightCol(weight_col) if weight_col else fit).fit(vectors)
-        inertia = float(model.summary.trainingCost)
-        if best is None or inertia < best[1]:
-            best = (model, inertia)
-    return best
+    arrays = stored_vectors(vectors, features_col, weight_col)
+    try:
+        rows = arrays.select(array_to_vector("x").alias(features_col), "w")
+        first: dict[tuple[int, int], np.ndarray] = {}
+        for attempt in range(restarts):
+            start = KMeans(
+                k=n_clusters, initMode=mode, maxIter=0, seed=seed + attempt, featuresCol=features_col, weightCol="w"
+            )
+            first[(n_clusters, attempt)] = np.array(start.fit(rows).clusterCenters())
+        fits = fit_many(arrays, [n_clusters], restarts, max_iter=max_iter, features_col="x", weight_col="w", init=first)
+    finally:
+        arrays.unpersist()
+    centres, inertia, _ = min(fits.values(), key=lambda f: f[1])
+    return kmeans_model(vectors.sparkSession, centres, features_col), inertia
+
+
+def kmeans_model(spark: SparkSession, centres: np.ndarray, features_col: str = "features") -> KMeansModel:
+    """An MLlib model with these centres: one random start on the centres alone takes each as it is."""
+    distinct = np.unique(centres, axis=0)
+    rows = spark.createDataFrame([(Vectors.dense(c),) for c in distinct], [features_col])
+    return KMeans(
+        k=max(len(distinct), 2), initMode="random", maxIter=0, featuresCol=features_col, predictionCol="segment_id"
+    ).fit(rows)
 
 
 def folded_vectors(vectors: DataFrame, features_col: str = "features") -> DataFrame:
@@ -177,22 +188,16 @@ def find_best_k(
     """
     taken = embeddings.select(id_col, vector_col)
     taken = taken if sample_size is None else subsample(taken, sample_size, id_col, seed)
-    vectors = unit_features(taken, vector_col).persist(StorageLevel.MEMORY_AND_DISK)
-    folded = folded_vectors(vectors).persist(StorageLevel.MEMORY_AND_DISK)
-    scores: dict[int, float] = {}
+    vectors = unit_features(taken, vector_col)
+    folded = stored_vectors(folded_vectors(vectors), weight_col="weight")
+    columns = {"features_col": "x", "weight_col": "w"}
     try:
         # every k and restart in one scan per round (kmeans_batch); the best restart of each k is scored
-        fits = fit_many(folded, list(k_range), restarts, seed=seed, max_iter=max_iter, weight_col="weight")
-        for k in k_range:
-            tries = [fits[(k, r)] for r in range(restarts) if (k, r) in fits]
-            if not tries:
-                scores[k] = 0.0
-                continue
-            centres = min(tries, key=lambda f: f[1])[0]
-            scores[k] = squared_silhouette(vectors.withColumn("segment_id", nearest("features", centres)))
+        fits = fit_many(folded, list(k_range), restarts, seed=seed, max_iter=max_iter, **columns)
+        best = {k: min((f for (of, _), f in fits.items() if of == k), key=lambda f: f[1])[0] for k in k_range if fits}
+        scores = dict.fromkeys(k_range, 0.0) | silhouettes(folded, best, **columns)
     finally:
         folded.unpersist()
-        vectors.unpersist()
     return min(scores, key=lambda k: (-scores[k], k)), scores
 
 
@@ -351,7 +356,7 @@ def run_segmentation(
         model, inertia = train_kmeans(
             folded, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"], weight_col="weight"
         )
-        silhouette = squared_silhouette(assign_segments(vectors, model))
+        silhouette = silhouettes(folded, {n_clusters: np.array(model.clusterCenters())}, weight_col="weight")[n_clusters]
     finally:
         folded.unpersist()
     segmented = assign_segments(unit_features(sessions, vector_col), model).drop("features")

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.ml.linalg import Vectors
 
 from sessionloom.operators import kmeans_batch as kb
-from sessionloom.operators.segments import find_best_k
+from sessionloom.operators.segments import find_best_k, folded_vectors, squared_silhouette, train_kmeans
 
 
 def lloyd(X, w, c, max_iter, tol):
@@ -48,3 +48,32 @@ def test_search_scores_every_k(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     best, scores = find_best_k(df, [2, 3, 4], "vec_id", restarts=2, max_iter=30)
     assert set(scores) == {2, 3, 4} and best == 3 and all(-1 <= s <= 1 for s in scores.values())
+
+
+def test_silhouettes_equal_the_evaluator_on_all_rows(spark):
+    rng = np.random.default_rng(7)
+    X = np.concatenate([rng.normal(m, 0.8, (25, 3)) for m in (0, 2, 5)] + [[[40.0, 0, 0]]])  # the last is alone
+    rows = spark.createDataFrame([(Vectors.dense(x),) for x in np.repeat(X, [*[1, 3] * 37, 2, 1], axis=0)], ["features"])
+    models = {k: X[rng.choice(len(X) - 1, k, replace=False)] for k in (2, 4)}
+    models[7] = np.vstack([models[4], X[-1:], [[900.0, 9, 9]]])  # a lone vector's cluster and an empty one
+    got = kb.silhouettes(folded_vectors(rows), models, weight_col="weight")
+    for key, centres in models.items():
+        placed = rows.withColumn("segment_id", kb.nearest("features", centres))
+        assert np.isclose(got[key], squared_silhouette(placed), atol=1e-9)
+    assert kb.silhouettes(rows, {1: X[:1]}) == {1: 0.0}
+
+
+def test_restarts_share_their_scans_and_the_inertia_is_that_of_the_returned_centres(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(400, 3))
+    df = spark.createDataFrame([(Vectors.dense(x),) for x in X], ["features"]).repartition(40)
+    scans = []
+    summed = kb._summed
+    monkeypatch.setattr(kb, "_summed", lambda arrays, *a: scans.append(arrays.rdd.getNumPartitions()) or summed(arrays, *a))
+    model, inertia = train_kmeans(df, 5, max_iter=2, restarts=4)
+    centres = np.array(model.clusterCenters())
+    assert centres.shape == (5, 3)
+    # Spark's own training cost is that of the centres before the last move
+    assert np.isclose(inertia, ((X[:, None] - centres) ** 2).sum(2).min(1).sum(), rtol=1e-9)
+    assert len(scans) == 3 and max(scans) < 40  # two rounds and the final cost, whatever the restarts
+    assert {r["segment_id"] for r in model.transform(df).select("segment_id").collect()} == set(range(5))
