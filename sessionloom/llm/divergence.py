@@ -33,7 +33,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,36 +62,39 @@ def term_rows(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
     """``docs(lang, source, text)`` (no nulls) -> per (lang, source, term): c (occurrences) and docs (documents
     holding it), summed in the worker over the documents of a task until ``flush`` entries are held."""
 
-    def rows(held: dict) -> pd.DataFrame:
-        keys = [(g, term) for g, (counts, _) in held.items() for term in counts]
-        return pd.DataFrame(
-            {
-                "lang": [g[0] for g, _ in keys],
-                "source": [g[1] for g, _ in keys],
-                "term": [t.decode("utf-8", "surrogatepass") for _, t in keys],
-                "c": pd.Series([held[g][0][t] for g, t in keys], dtype="int64"),
-                "docs": pd.Series([held[g][1][t] for g, t in keys], dtype="int64"),
-            }
-        )
-
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (counts, docs_) in held.items():  # one batch a group, its columns filled by C loops
+            terms = list(counts)
+            columns = [
+                pa.repeat(pa.scalar(lang, pa.string()), len(terms)),
+                pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.array(list(counts.values()), pa.int64()),
+                pa.array(list(map(docs_.__getitem__, terms)), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "c", "docs"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         size = 0
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-                terms = text.encode("utf-8", "surrogatepass").translate(TABLE).split()
+            langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for lang, source, text in zip(langs, sources, texts, strict=True):
+                terms = text.translate(TABLE).split()
+                if not terms:
+                    continue
                 counts, docs_ = held.setdefault((lang, source), (Counter(), Counter()))
                 before = len(counts)
                 counts.update(terms)
                 docs_.update(set(terms))
                 size += len(counts) - before
             if size > flush:
-                yield rows(held)
+                yield from rows(held)
                 held, size = {}, 0
-        if size:
-            yield rows(held)
+        yield from rows(held)
 
-    return docs.mapInPandas(task, "lang string, source string, term string, c long, docs long")
+    return docs.mapInArrow(task, "lang string, source string, term string, c long, docs long")
 
 
 def _p(count: str, total: str, kept: str) -> Column:
@@ -157,12 +160,20 @@ def source_divergence(
         "lang", "source", F.col("b.o").alias("other"), "p", F.col("b.q0").alias("q0"), F.try_element_at("use", F.col("b.o")).alias("q")
     )
     met = met.withColumn("f", _f("p", "coalesce(q, q0)"))
-    # a term the other source lacks also counts, with the same f, for the pair seen from that source
-    sides = F.array(F.struct(F.col("source").alias("s"), F.col("other").alias("t")))
-    both_sides = F.array(sides[0], F.struct(F.col("other").alias("s"), F.col("source").alias("t")))
-    mirrored = F.when(F.col("q").isNull(), both_sides).otherwise(sides)
-    met = met.select("lang", "f", F.explode(mirrored).alias("x")).select("lang", F.col("x.s").alias("source"), F.col("x.t").alias("other"), "f")
-    summed = met.groupBy("lang", "source", "other").agg(F.sum("f").alias("f1"), F.count(F.lit(1)).alias("n1"))
+    # a term the other source lacks also counts, with the same f, for the pair seen from that source: its sums
+    # are taken apart here and added to the mirrored pair afterwards, when a pair is one row
+    lacked = F.col("q").isNull()
+    seen = met.groupBy("lang", "source", "other").agg(
+        F.sum("f").alias("f1"), F.count(F.lit(1)).alias("n1"),
+        F.sum(F.when(lacked, F.col("f"))).alias("f2"), F.count_if(lacked).alias("n2"),
+    )
+    side = F.struct("source", "other", F.col("f1").alias("f"), F.col("n1").alias("n"))
+    mirror = F.struct(F.col("other").alias("source"), F.col("source").alias("other"), F.col("f2").alias("f"), F.col("n2").alias("n"))
+    summed = (
+        seen.select("lang", F.explode(F.array(side, mirror)).alias("x"))
+        .groupBy("lang", "x.source", "x.other")
+        .agg(F.sum("x.f").alias("f1"), F.sum("x.n").alias("n1"))
+    )
     others = group.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0"))
     pairs = group.join(others, "lang").where(F.col("source") != F.col("other"))
     pairs = pairs.join(summed, ["lang", "source", "other"], "left")

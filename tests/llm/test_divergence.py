@@ -45,3 +45,17 @@ def test_language_without_kept_terms_gives_zero_pairs(spark):
     rows = [(1, "rare words only", "xx", "a"), (2, None, "xx", "b"), (3, "", None, None)]
     got = divergence.source_divergence(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
     assert sorted(map(tuple, got.collect())) == [("xx", "a", "pair", "b", 0, 1), ("xx", "b", "pair", "a", 0, 1)]
+
+
+def test_terms_leave_the_worker_in_arrow_batches_whatever_the_flush(spark):
+    texts = [("a", "s", "One two TWO déjà"), ("a", "s", "two"), ("b", "s", ""), ("a", "t", "two  one"), ("a", "s", "one")]
+    docs = spark.createDataFrame(texts, "lang string, source string, text string").coalesce(1)
+    want = {("a", "s", "one"): (2, 2), ("a", "s", "two"): (3, 2), ("a", "s", "déjà"): (1, 1), ("a", "t", "two"): (1, 1), ("a", "t", "one"): (1, 1)}
+    for flush in (0, 2, 100):
+        rows = divergence.term_rows(docs, flush)
+        assert "MapInArrow" in rows._jdf.queryExecution().executedPlan().toString()
+        got = {}
+        for r in rows.collect():
+            c, d = got.get((r["lang"], r["source"], r["term"]), (0, 0))
+            got[r["lang"], r["source"], r["term"]] = (c + r["c"], d + r["docs"])
+        assert got == want
