@@ -11,12 +11,15 @@ shape is the add-one estimate over all training counts, with one unknown word pe
 ``(c + 1) / (N_shape + V_shape + 1)``. The score is the exact log10 probability of the token sequence:
 ``log10 P_hmm(shapes) + sum log10 P(w | shape)``.
 
-Distribution. Vocabulary counts are a Spark table (every training token, no cut-off), joined with the
-distinct tokens of each document; only per-shape totals (at most 36 rows) and the states' parameters
+Distribution. A task splits its texts into words on their bytes with numpy and numbers the words of a block
+(at most ``BLOCK`` bytes of text, at least one document); per block one row lists its distinct tokens, per document
+there are its shapes and token numbers. Vocabulary counts are a Spark table (every training token, no cut-off),
+joined with the distinct tokens of each block; only per-shape totals (at most 36 rows) and the states' parameters
 (STATES x 36 + STATES^2 numbers) reach the driver and the tasks. Each E-step task packs documents of its
 partition into lanes (longest first into the least loaded lane, documents of at most ``CHUNK`` tokens at a
 time, shortest first, lanes so that steps x lanes stays near CHUNK; memory is bounded whatever the partition) and runs the scaled forward-backward recursion on all
-lanes at once with numpy; expected counts are summed by Spark over partitions.
+lanes at once with numpy, a step's active lanes being the first ones; expected counts are summed by Spark over
+partitions. Scores are made block by block from the block's documents and the counts of its tokens.
 
 Defined results: null doc_id is neither learned from nor held out (held_out null); repeated rows are scored
 alike and learned from as often as they stand; an empty table or one with no training rows gives the seeded
@@ -28,11 +31,12 @@ from __future__ import annotations
 import heapq
 import math
 from functools import lru_cache
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +46,8 @@ STATES = 8
 ITERATIONS = 8
 SEED = 3
 HOLD_OUT = (7, 2)  # crc32 of the decimal doc_id modulo 7 equal to 2 is held out
-CHUNK = 1 << 20  # tokens packed into lanes at once: time steps x lanes stays near this
+CHUNK = 1 << 21  # tokens packed into lanes at once: time steps x lanes stays near this
+BLOCK = 16 << 20  # bytes of text whose words are numbered together
 LANES = 2048
 END = b"\n"
 BANDS = (1, 2, 3, 4, 6, 9)  # byte lengths up to these, then longer: seven bands
@@ -80,49 +85,143 @@ def is_held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(HOLD_OUT[0])) == HOLD_OUT[1]
 
 
+# --- words of a block of texts ------------------------------------------------------------------------------
+
+_BYTES = np.arange(256)
+_LOWERED = np.frombuffer(_LOWER, np.uint8)
+# one bit per class of byte; separators have none
+_CLASS = np.select(
+    [
+        (_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)),
+        (_LOWERED >= ord("a")) & (_LOWERED <= ord("z")),
+        (_BYTES >= ord("0")) & (_BYTES <= ord("9")),
+        _BYTES >= 0x80,
+    ],
+    [0, 1, 2, 4],
+    8,
+).astype(np.uint8)
+# the kind of a word from the classes of its bytes, and the band from its length: as in shape()
+_KIND = np.array([0, 0, 1, 4] + [3] * 4 + [2] + [4] * 3 + [3] * 4, np.uint8)
+_BAND = np.array([sum(n > most for most in BANDS) for n in range(BANDS[-1] + 2)], np.uint8)
+
+
+def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(tokens of each text, shape and number of every token in order, the numbered tokens, their shapes).
+
+    The same tokens and shapes as ``tokens`` and ``shape`` give, the end token being the last number.
+    """
+    texts = texts.fill_null("")
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    at -= at[0]
+    cls = _CLASS[data]
+    inside = cls != 0
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    full = at[1:] > at[:-1]  # neighbouring texts have no separator between them
+    first[at[:-1][full]] = inside[at[:-1][full]]
+    last[at[1:][full] - 1] = inside[at[1:][full] - 1]
+    begin = np.flatnonzero(first)
+    length = np.flatnonzero(last) + 1 - begin
+    kind = _KIND[np.bitwise_or.reduceat(cls, begin)] if len(begin) else np.zeros(0, np.uint8)
+    kinds = kind * (len(BANDS) + 1) + _BAND[np.minimum(length, len(_BAND) - 1)]
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+    words = pa.Array.from_buffers(
+        pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWERED[data[inside]])]
+    ).dictionary_encode()
+    number, distinct = words.indices.to_numpy(), words.dictionary
+    n = np.diff(np.searchsorted(begin, at)) + 1  # with the end token
+    ends = np.cumsum(n) - 1
+    word = np.ones(int(n.sum()), bool)
+    word[ends] = False
+    shapes, ids = np.full(len(word), SHAPES - 1, np.uint8), np.full(len(word), len(distinct), np.int32)
+    shapes[word], ids[word] = kinds, number
+    shape_of = np.full(len(distinct) + 1, SHAPES - 1, np.int32)
+    shape_of[number] = kinds
+    named = pa.concat_arrays([distinct, pa.array([END], pa.binary())])
+    return n, shapes, ids, pa.Array.from_buffers(pa.string(), len(named), named.buffers()), shape_of
+
+
+def _pieces(flat: np.ndarray, n: np.ndarray) -> pa.Array:
+    """One binary value per document: its ``n`` values of ``flat``."""
+    offsets = (np.concatenate([[0], np.cumsum(n)]) * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+def _flat(values: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column one after another, and how many each row has."""
+    at = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    flat = np.frombuffer(values.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    return np.frombuffer(flat.tobytes(), dtype), np.diff(at) // np.dtype(dtype).itemsize
+
+
+def _sequences(values: pa.Array) -> list[np.ndarray]:
+    flat, n = _flat(values, np.uint8)
+    return np.split(flat, np.cumsum(n)[:-1]) if len(n) else []
+
+
 # --- forward-backward on packed lanes ---------------------------------------------------------------------
 
 
-def pack(seqs: list[np.ndarray], lanes: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(obs, start, doc) of shape (T, L): documents one after another in each lane; doc is -1 past a lane's end."""
-    lanes = max(1, min(lanes, len(seqs)))
-    heap = [(0, lane) for lane in range(lanes)]
-    placed: list[list[int]] = [[] for _ in range(lanes)]
-    for j in sorted(range(len(seqs)), key=lambda j: -len(seqs[j])):
-        load, lane = heapq.heappop(heap)
-        placed[lane].append(j)
-        heapq.heappush(heap, (load + len(seqs[j]), lane))
-    depth = max(load for load, _ in heap)
-    obs = np.zeros((depth, lanes), np.int64)
-    start = np.zeros((depth, lanes), bool)
-    doc = np.full((depth, lanes), -1, np.int64)
-    for lane, members in enumerate(placed):
-        if not members:
-            continue
-        lengths = np.array([len(seqs[j]) for j in members])
-        n = int(lengths.sum())
-        obs[:n, lane] = np.concatenate([seqs[j] for j in members])
-        doc[:n, lane] = np.repeat(members, lengths)
-        start[np.r_[0, np.cumsum(lengths)[:-1]], lane] = True
-    return obs, start, doc
-
-
-def forward(obs, start, doc, pi, A, B, keep: bool):
-    """Scaled forward pass: per step the normalised alphas (if kept) and the scales."""
-    depth, lanes = obs.shape
-    Bt = B.T
-    valid = doc >= 0
-    alpha = np.empty((depth, lanes, len(pi))) if keep else None
+class Lanes:
+    """Documents one after another in lanes, the fullest lane first, so that a step's lanes in use are the first."""
+
+    def __init__(self, seqs: list[np.ndarray], lanes: int):
+        lanes = max(1, min(lanes, len(seqs)))
+        heap = [(0, lane) for lane in range(lanes)]
+        place = np.empty((len(seqs), 2), np.int64)
+        for j in sorted(range(len(seqs)), key=lambda j: -len(seqs[j])):
+            load, lane = heapq.heappop(heap)
+            place[j] = lane, load
+            heapq.heappush(heap, (load + len(seqs[j]), lane))
+        loads = np.empty(lanes, np.int64)
+        for load, lane in heap:
+            loads[lane] = load
+        order = np.argsort(-loads, kind="stable")
+        rank = np.empty(lanes, np.int64)
+        rank[order] = np.arange(lanes)
+        self.depth, self.lanes = int(loads.max()), lanes
+        self.lane, self.step = rank[place[:, 0]], place[:, 1]  # of each document's first token
+        by_lane = np.zeros((lanes, self.depth), np.uint8)
+        for s, lane, t in zip(seqs, self.lane.tolist(), self.step.tolist(), strict=True):
+            by_lane[lane, t : t + len(s)] = s
+        self.obs = np.ascontiguousarray(by_lane.T)
+        self.used = np.searchsorted(-loads[order], -np.arange(self.depth), side="left")  # lanes longer than t
+        by_step = np.argsort(self.step, kind="stable")
+        cuts = np.searchsorted(self.step[by_step], np.arange(self.depth + 1))
+        self.starting = [self.lane[by_step[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def per_document(self, values: np.ndarray) -> np.ndarray:
+        """Sums of (depth, lanes) values, 0 past a lane's end, over each document."""
+        flat, first = np.ascontiguousarray(values.T).ravel(), self.lane * self.depth + self.step
+        order = np.argsort(first)
+        out = np.empty(len(first))
+        out[order] = np.add.reduceat(flat, first[order])
+        return out
+
+
+def forward(packed: Lanes, pi, A, B, keep: bool):
+    """Scaled forward pass: per step the normalised alphas (if kept), states first, and what they were scaled by."""
+    K, depth, lanes = len(pi), packed.depth, packed.lanes
+    alpha = np.zeros((depth, K, lanes)) if keep else None
     scale = np.ones((depth, lanes))
-    a = np.tile(pi, (lanes, 1))
+    At, start = np.ascontiguousarray(A.T), pi[:, None]
+    prior, seen = np.empty((K, lanes)), np.empty(K * lanes)
+    a = np.zeros((K, lanes))
     for t in range(depth):
-        prior = np.where(start[t][:, None], pi[None, :], a @ A)
-        nxt = prior * Bt[obs[t]]
-        c = np.where(valid[t], nxt.sum(1), 1.0)
-        a = np.where(valid[t][:, None], nxt / c[:, None], a)
-        scale[t] = c
+        n = int(packed.used[t])
+        p, e = prior[:, :n], seen[: K * n].reshape(K, n)
+        np.matmul(At, a[:, :n], out=p)
+        if len(packed.starting[t]):
+            p[:, packed.starting[t]] = start
+        np.take(B, packed.obs[t, :n], axis=1, out=e, mode="clip")
+        e *= p
+        r = np.add.reduce(e, axis=0, out=scale[t, :n])
+        np.reciprocal(r, out=r)
         if keep:
-            alpha[t] = a
+            a = alpha[t]
+        np.multiply(e, r, out=a[:, :n])
     return alpha, scale
 
 
@@ -130,10 +229,9 @@ def log_likelihoods(seqs: list[np.ndarray], pi, A, B) -> np.ndarray:
     """Natural log probability of each shape sequence."""
     out = np.zeros(len(seqs))
     for members, lanes in chunks(seqs):
-        obs, start, doc = pack([seqs[j] for j in members], lanes)
-        _, scale = forward(obs, start, doc, pi, A, B, keep=False)
-        valid = doc >= 0
-        out[members] = np.bincount(doc[valid], weights=np.log(scale[valid]), minlength=len(members))
+        packed = Lanes([seqs[j] for j in members], lanes)
+        _, scale = forward(packed, pi, A, B, keep=False)
+        out[members] = -packed.per_document(np.log(scale))
     return out
 
 
@@ -142,25 +240,31 @@ def expected_counts(seqs: list[np.ndarray], pi, A, B) -> tuple[np.ndarray, np.nd
     K, C = B.shape
     starts, moves, emits, total = np.zeros(K), np.zeros((K, K)), np.zeros((K, C)), 0.0
     for members, lanes in chunks(seqs):
-        obs, start, doc = pack([seqs[j] for j in members], lanes)
-        alpha, scale = forward(obs, start, doc, pi, A, B, keep=True)
-        valid = doc >= 0
-        total += float(np.log(scale[valid]).sum())
-        Bt = B.T
-        beta = np.ones((obs.shape[1], K))
-        for t in range(obs.shape[0] - 1, -1, -1):
-            g = alpha[t] * beta * valid[t][:, None]
-            starts += (g * start[t][:, None]).sum(0)
+        packed = Lanes([seqs[j] for j in members], lanes)
+        alpha, scale = forward(packed, pi, A, B, keep=True)
+        total -= float(np.log(scale).sum())
+        beta, seen = np.ones((K, packed.lanes)), np.empty(K * packed.lanes)
+        for t in range(packed.depth - 1, -1, -1):
+            n, new = int(packed.used[t]), packed.starting[t]
+            g, b = alpha[t, :, :n], beta[:, :n]
+            g *= b  # alpha[t] is not needed again after step t + 1: the posteriors take its place
+            if len(new):
+                starts += g[:, new].sum(1)
             if t > 0:
-                inside = valid[t] & ~start[t]
-                w = Bt[obs[t]] * beta / scale[t][:, None]
-                moves += A * ((alpha[t - 1] * inside[:, None]).T @ w)
-                beta = np.where(inside[:, None], w @ A.T, 1.0)
-            alpha[t] = g  # alpha[t] is not needed again: keep the posteriors in its place
-        flat = obs.ravel()
+                w = seen[: K * n].reshape(K, n)
+                np.take(B, packed.obs[t, :n], axis=1, out=w, mode="clip")
+                w *= b
+                w *= scale[t, :n]
+                if len(new):
+                    w[:, new] = 0.0
+                moves += alpha[t - 1, :, :n] @ w.T
+                np.matmul(A, w, out=b)
+                if len(new):
+                    b[:, new] = 1.0
+        seen_shapes = packed.obs.ravel().astype(np.intp)
         for k in range(K):
-            emits[k] += np.bincount(flat, weights=alpha[:, :, k].ravel(), minlength=C)
-    return starts, moves, emits, total
+            emits[k] += np.bincount(seen_shapes, weights=alpha[:, k].ravel(), minlength=C)
+    return starts, A * moves, emits, total
 
 
 def chunks(seqs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, int]]:
@@ -197,46 +301,61 @@ def updated(starts, moves, emits):
 # --- Spark side ---------------------------------------------------------------------------------------------
 
 
-def _shapes(seq: str | None) -> bytes:
-    return bytes(shape(w) for w in tokens(seq))
-
-
 def prepared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(per document: _rid, doc_id, held_out, n_tokens, shapes) written once, and (per document and distinct
-    token: _rid, train, token, shape, m) as a plan. ``_rid`` numbers rows of the scan."""
+    """(per document: block, doc_id, held_out, n_tokens, shapes, ids) and (per block and distinct token: of_block, pos,
+    token, shape, m in training), both from one table written once. ``ids`` are the ``pos`` of the tokens in order."""
     keyed = docs.select(
         F.monotonically_increasing_id().alias("_rid"),
-        F.col(doc_id).alias("doc_id"),
+        F.col(doc_id).cast("long").alias("doc_id"),
         is_held_out(F.col(doc_id)).alias("held_out"),
         F.col(text).cast("string").alias("_text"),
     )
-
-    def per_doc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            shapes = [_shapes(t) for t in b["_text"]]
-            yield pd.DataFrame(
-                {"_rid": b["_rid"], "doc_id": b["doc_id"], "held_out": b["held_out"], "n_tokens": [len(s) for s in shapes], "shapes": shapes}
-            )
-
-    def per_token(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rid, train, word, kind, m = [], [], [], [], []
-            for r, held, t in zip(b["_rid"], b["held_out"], b["_text"], strict=True):
-                for w, n in Counter(tokens(t)).items():
-                    rid.append(r)
-                    train.append(held is False or held is np.False_)
-                    word.append(w.decode("utf-8", "surrogatepass"))
-                    kind.append(shape(w))
-                    m.append(n)
-            yield pd.DataFrame(
-                {"_rid": pd.Series(rid, dtype="int64"), "train": pd.Series(train, dtype=bool), "token": word,
-                 "shape": pd.Series(kind, dtype="int32"), "m": pd.Series(m, dtype="int64")}
-            )
-
-    schema = "_rid long, doc_id long, held_out boolean, n_tokens long, shapes binary"
-    per_document = materialised(keyed.mapInPandas(per_doc, schema), "hmm-documents")
-    distinct = keyed.mapInPandas(per_token, "_rid long, train boolean, token string, shape int, m long")
-    return per_document, distinct
+    schema = "block long, doc_id long, held_out boolean, n_tokens long, shapes binary, ids binary, words array<struct<token:string,shape:int,m:long>>"
+    word_type = pa.struct([("token", pa.string()), ("shape", pa.int32()), ("m", pa.int64())])
+
+    def block(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n, shapes, ids, words, shape_of = numbered_words(part.column("_text"))
+        learned = part.column("held_out").fill_null(True).to_numpy(zero_copy_only=False) == False  # noqa: E712
+        m = np.bincount(ids[np.repeat(learned, n)], minlength=len(words))
+        listed = pa.StructArray.from_arrays([words, pa.array(shape_of), pa.array(m, pa.int64())], fields=list(word_type))
+        first = part.column("_rid")[0].as_py()
+        names = ["block", "doc_id", "held_out", "n_tokens", "shapes", "ids", "words"]
+        rows = len(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(rows, first)), part.column("doc_id"), part.column("held_out"), pa.array(n, pa.int64()),
+             _pieces(shapes, n), _pieces(ids, n), pa.nulls(rows, pa.list_(word_type))],
+            names,
+        )
+        types = (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64()), *(pa.nulls(1, kind) for kind in types),
+             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), listed)],
+            names,
+        )
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if len(parts) > 1 else parts[0]
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, filled = [], 0
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column("_text").fill_null("")).to_numpy().astype(np.int64))
+            at, before = 0, 0
+            while at < batch.num_rows:
+                to = int(np.searchsorted(ends, before + BLOCK - filled, side="right"))
+                to = to if held or to > at else at + 1  # a longer document is a block of its own
+                if to > at:
+                    held.append(batch.slice(at, to - at))
+                    filled, at, before = filled + int(ends[to - 1]) - before, to, int(ends[to - 1])
+                if at < batch.num_rows:
+                    yield from block(joined(held))
+                    held, filled = [], 0
+        if held:
+            yield from block(joined(held))
+
+    table = materialised(keyed.mapInArrow(blocks, schema), "hmm-documents")
+    words = table.where("words IS NOT NULL").select(F.col("block").alias("of_block"), F.posexplode("words").alias("pos", "w")).select("of_block", "pos", "w.*")
+    return table.where("shapes IS NOT NULL").drop("words"), words
 
 
 def fit(per_document: DataFrame, states: int = STATES, iterations: int = ITERATIONS, seed: int = SEED):
@@ -246,17 +365,18 @@ def fit(per_document: DataFrame, states: int = STATES, iterations: int = ITERATI
     for _ in range(iterations):
         pi, A, B = params
 
-        def step(batches: Iterator[pd.DataFrame], pi=pi, A=A, B=B) -> Iterator[pd.DataFrame]:
-            seqs = [np.frombuffer(s, np.uint8).astype(np.int64) for b in batches for s in b["shapes"]]
+        def step(batches: Iterator[pa.RecordBatch], pi=pi, A=A, B=B) -> Iterator[pa.RecordBatch]:
+            seqs = [s for batch in batches for s in _sequences(batch.column("shapes"))]
             if not seqs:
                 return
             starts, moves, emits, total = expected_counts(seqs, pi, A, B)
             rows = [("s", 0, j, v) for j, v in enumerate(starts)]
             rows += [("a", i, j, moves[i, j]) for i in range(len(pi)) for j in range(len(pi))]
             rows += [("b", i, j, emits[i, j]) for i in range(len(pi)) for j in range(emits.shape[1])]
-            yield pd.DataFrame(rows + [("l", 0, 0, total)], columns=["part", "i", "j", "v"])
+            named = pd.DataFrame(rows + [("l", 0, 0, total)], columns=["part", "i", "j", "v"]).astype({"i": "int32", "j": "int32"})
+            yield pa.RecordBatch.from_pandas(named, preserve_index=False)
 
-        sums = training.mapInPandas(step, "part string, i int, j int, v double").groupBy("part", "i", "j").agg(F.sum("v").alias("v"))
+        sums = training.mapInArrow(step, "part string, i int, j int, v double").groupBy("part", "i", "j").agg(F.sum("v").alias("v"))
         got = {(r["part"], r["i"], r["j"]): r["v"] for r in sums.collect()}  # at most states x (states + 37) + 1 rows
         if not got:
             break
@@ -269,35 +389,41 @@ def fit(per_document: DataFrame, states: int = STATES, iterations: int = ITERATI
 
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: int = STATES, iterations: int = ITERATIONS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    per_document, distinct = prepared(docs, doc_id, text)
-    train = distinct.where("train")
-    vocabulary = materialised(train.groupBy("token", "shape").agg(F.sum("m").alias("c")), "hmm-vocabulary")
-    totals = vocabulary.agg(F.sum("c").alias("N"), F.count(F.lit(1)).alias("V")).first()
-    N, V = int(totals["N"] or 0), int(totals["V"] or 0)
-    by_shape = vocabulary.groupBy("shape").agg((F.sum("c") + F.count(F.lit(1)) + 1).alias("den"))
+    per_document, words = prepared(docs, doc_id, text)
+    vocabulary = materialised(words.where("m > 0").groupBy("token", "shape").agg(F.sum("m").alias("c")), "hmm-vocabulary")
+    by_shape = vocabulary.groupBy("shape").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # at most 36 rows
+    N, V = sum(r["n"] for r in by_shape), sum(r["v"] for r in by_shape)
+    den = np.ones(SHAPES)
+    for r in by_shape:
+        den[r["shape"]] = r["n"] + r["v"] + 1
     pi, A, B = fit(per_document, states, iterations)
-
-    counts = distinct.join(vocabulary.select("token", "c"), "token", "left").join(by_shape, "shape", "left")
-    c = F.coalesce("c", F.lit(0))
-    base = F.col("m") * F.log10((c + 1) / F.lit(float(N + V + 1)))
-    word = F.col("m") * F.log10((c + 1) / F.coalesce("den", F.lit(1)).cast("double"))
-    sums = counts.groupBy("_rid").agg(
-        F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("n_known"), F.sum(base).alias("base_score"), F.sum(word).alias("_word")
-    )
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            seqs = [np.frombuffer(s, np.uint8).astype(np.int64) for s in b["shapes"]]
-            yield pd.DataFrame({"_rid": b["_rid"], "_hmm": log_likelihoods(seqs, pi, A, B) / math.log(10) if seqs else []})
-
-    hmm = per_document.select("_rid", "shapes").mapInPandas(score, "_rid long, _hmm double")
-    out = per_document.drop("shapes").join(hmm, "_rid").join(sums, "_rid")
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        F.col("n_known").cast("long"),
-        F.lit(N).cast("long").alias("train_tokens"),
-        "base_score",
-        (F.col("_hmm") + F.col("_word")).alias("score"),
+    counts = words.join(vocabulary.select("token", "c"), "token", "left").select("of_block", "pos", "shape", F.coalesce("c", F.lit(0)).alias("c"))
+
+    def score(documents: pa.Table, counted: pa.Table) -> pa.Table:
+        documents, counted = documents.combine_chunks(), counted.combine_chunks()
+        ids, n = _flat(documents["ids"].combine_chunks(), np.int32)
+        c, shape_of = np.zeros(counted.num_rows, np.int64), np.zeros(counted.num_rows, np.uint8)
+        c[counted["pos"].to_numpy()] = counted["c"].to_numpy()
+        shape_of[counted["pos"].to_numpy()] = counted["shape"].to_numpy()
+        shapes = shape_of[ids]
+        first = np.cumsum(n) - n
+        base = np.log10((c + 1) / float(N + V + 1))[ids]
+        word = np.log10((c + 1) / den[shape_of])[ids]
+        hmm = log_likelihoods(np.split(shapes, first[1:]), pi, A, B) / math.log(10)
+        return pa.table(
+            {
+                "doc_id": documents["doc_id"],
+                "held_out": documents["held_out"],
+                "n_tokens": documents["n_tokens"],
+                "n_known": np.add.reduceat((c > 0).astype(np.int64)[ids], first),
+                "train_tokens": np.full(len(n), N, np.int64),
+                "base_score": np.add.reduceat(base, first),
+                "score": hmm + np.add.reduceat(word, first),
+            }
+        )
+
+    return (
+        per_document.drop("shapes").groupBy("block")
+        .cogroup(counts.groupBy("of_block"))
+        .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     )

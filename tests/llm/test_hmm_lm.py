@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sessionloom.llm import hmm_lm
@@ -116,3 +117,24 @@ def test_odd_rows(spark, odd, none):
     pi, A, B = hmm_lm.fit(per_document)
     close([tuple(r) for r in hmm_lm.scored(odd).collect()], brute(odd.collect(), pi, A, B))
     assert hmm_lm.scored(none).count() == 0
+
+
+def test_words_numbered_on_bytes_are_those_of_the_token_functions():
+    texts = ["", None, "Ab ab", "x", "\u00c9t\u00e9 \u00e9 e\u00a0e", " \t\x0b\x0c\r\n", "12 a1 -- .a 123456789 1234567890", "end\n", "a" * 40 + "\x1cb", "ab"]
+    for part in (pa.array(texts, pa.string()), pa.array(["skipped", *texts], pa.string()).slice(1), pa.array([None, ""], pa.string())):
+        n, shapes, ids, words, shape_of = hmm_lm.numbered_words(part)
+        want = [hmm_lm.tokens(t) for t in part.to_pylist()]
+        assert n.tolist() == [len(w) for w in want]
+        assert [words[i].as_py().encode() for i in ids.tolist()] == sum(want, [])
+        assert shapes.tolist() == [hmm_lm.shape(w) for ws in want for w in ws] == shape_of[ids].tolist()
+        assert len(set(words.to_pylist())) == len(words)
+
+
+def test_scores_do_not_depend_on_the_blocks_of_the_plan(spark, documents):
+    # a block's distinct tokens are joined once, not once a document
+    _, words = hmm_lm.prepared(documents.coalesce(1))
+    assert words.count() == words.select("token").distinct().count()
+    key = lambda r: (r["doc_id"], r["n_tokens"], r["base_score"])
+    one, many = (sorted(hmm_lm.scored(d, iterations=1).collect(), key=key) for d in (documents.coalesce(1), documents.repartition(7)))
+    assert [r[:5] for r in one] == [r[:5] for r in many]
+    assert np.allclose([r["score"] for r in one], [r["score"] for r in many], rtol=1e-9)
