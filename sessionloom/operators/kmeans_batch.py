@@ -1,9 +1,11 @@
 """Many K-Means models fitted at once: every k and every restart share one scan of the vectors per round.
 
-Each round, a task reads its vectors in Arrow batches and multiplies them once with the centres of all models
+The vectors are packed once into binary blocks, so that a round copies them to the workers as they are. Each round,
+a task multiplies its blocks once with the centres of all models
 still moving; every model's nearest centres make one 0/1 matrix whose product with the vectors is the weighted
-sum of each centre. Spark adds these partial sums over tasks (at most models x k x (dimensions + 2) numbers,
-whatever the number of vectors), and the driver moves the centres. A model whose centres all moved by at most
+sum of each centre. These partial sums (at most models x k x (dimensions + 2) numbers a task, whatever the number of
+vectors) leave the tasks as a few binary pieces; while all tasks' together are small (``DIRECT``), the driver adds
+them and a round is one stage, beyond that Spark adds them over tasks first. The driver moves the centres. A model whose centres all moved by at most
 ``tol`` is converged and leaves the scan, so a search costs as many rounds as its slowest fit, not the sum of
 all fits. A cluster that gets no vector keeps its centre.
 
@@ -26,8 +28,11 @@ from pyspark.sql import functions as F
 from ..session import materialised
 
 INIT_ROWS = 20_000
-# Vectors multiplied with all centres at a time.
+# Vectors multiplied with all centres at a time, and so packed into one block.
 _STEP = 2_048
+# Bytes of all tasks' partial sums that the driver adds itself; numbers in a piece of them.
+DIRECT = 64 << 20
+_PIECE = 1 << 14
 
 
 def vector_arrays(vectors: DataFrame, features_col: str = "features", weight_col: str | None = None) -> DataFrame:
@@ -84,27 +89,62 @@ def _sizes(models: dict[int, np.ndarray]) -> dict[int, slice]:
     return {m: slice(int(end) - len(c), int(end)) for (m, c), end in zip(models.items(), ends, strict=True)}
 
 
-def _summed(arrays: DataFrame, size: int, add: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> np.ndarray:
-    """One scan: ``add(X, w, total)`` adds a few vectors to a task's ``total`` of ``size`` numbers; Spark sums these."""
+def packed(vectors: DataFrame, features_col: str = "features", weight_col: str | None = None) -> DataFrame:
+    """(x binary, w binary): blocks of at most ``_STEP`` vectors and their weights as doubles, row by row."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _STEP):
+                part = batch.slice(at, _STEP)
+                columns = (_matrix(part.column("x")), part.column("w").to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], ["x", "w"])
+
+    return vector_arrays(vectors, features_col, weight_col).mapInArrow(pack, "x binary, w binary")
+
+
+def _added(pieces: Iterator[tuple[int, bytes]]) -> dict[int, np.ndarray]:
+    """The pieces of partial sums, added by their number."""
+    out: dict[int, np.ndarray] = {}
+    for p, v in pieces:
+        numbers = np.frombuffer(v)
+        out[p] = out[p] + numbers if p in out else numbers
+    return out
+
+
+def _summed(blocks: DataFrame, size: int, add: Callable[[np.ndarray, np.ndarray, np.ndarray], None], parts: int) -> np.ndarray:
+    """One scan: ``add(X, w, total)`` adds a block to a task's ``total`` of ``size`` numbers; all tasks' totals are
+    added, here or by Spark. ``parts`` is the number of tasks."""
+    schema = "p int, v binary"
+
+    def batch_of(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["p", "v"]
+        )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(size), False
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            X, w, seen = _matrix(batch.column("x")), batch.column("w").to_numpy(zero_copy_only=False), True
-            for at in range(0, len(X), _STEP):
-                add(X[at : at + _STEP], w[at : at + _STEP], total)
+            for x, w in zip(batch.column("x"), batch.column("w"), strict=True):
+                weights, seen = np.frombuffer(w.as_buffer()), True
+                add(np.frombuffer(x.as_buffer()).reshape(len(weights), -1), weights, total)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["p", "v"])
+            yield batch_of({p: total[at : at + _PIECE] for p, at in enumerate(range(0, size, _PIECE))})
 
-    parts = arrays.mapInArrow(task, "p long, v double").groupBy("p").agg(F.sum("v").alias("v")).toArrow()
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _added(((p.as_py(), v.as_buffer()) for b in batches for p, v in zip(b.column("p"), b.column("v"), strict=True)))
+        if sums:
+            yield batch_of(sums)
+
+    sums = blocks.mapInArrow(task, schema)
+    if parts * size * 8 > DIRECT:
+        sums = sums.repartition("p").mapInArrow(again, schema)
     out = np.zeros(size)
-    out[parts["p"].to_numpy()] = parts["v"].to_numpy()
+    for p, v in _added(((r["p"], r["v"]) for r in sums.collect())).items():
+        out[p * _PIECE : p * _PIECE + len(v)] = v
     return out
 
 
-def _round(arrays: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+def _round(blocks: DataFrame, models: dict[int, np.ndarray], parts: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """One scan: per model the weighted sums, counts and squared lengths of each centre's vectors, and the inertia."""
     where, C = _sizes(models), np.concatenate(list(models.values()))
     rows, dims = C.shape
@@ -124,7 +164,7 @@ def _round(arrays: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[
         per_centre[:, 1] += xx @ own
         per_centre[:, 2:] += own.T @ X
 
-    got = _summed(arrays, rows * (dims + 2) + len(models), add)
+    got = _summed(blocks, rows * (dims + 2) + len(models), add, parts)
     table = got[: rows * (dims + 2)].reshape(rows, dims + 2)
     return {
         m: (table[part, 2:], table[part, 0], table[part, 1], float(got[rows * (dims + 2) + i]))
@@ -144,7 +184,6 @@ def fit_many(
     init: dict[tuple[int, int], np.ndarray] | None = None,
 ) -> dict[tuple[int, int], tuple[np.ndarray, float, int]]:
     """Centres, inertia and rounds of every (k, restart). ``vectors`` should be persisted."""
-    arrays = vector_arrays(vectors, features_col, weight_col)
     keys = [(k, r) for k in ks for r in range(restarts)]
     if init is None:
         X, w = seeding_rows(vectors, seed, features_col, weight_col)
@@ -154,17 +193,22 @@ def fit_many(
     centres = {i: np.array(init[key], float) for i, key in enumerate(keys)}
     rounds = dict.fromkeys(centres, 0)
     moving = set(centres)
-    for _ in range(max_iter):
-        if not moving:
-            break
-        sums = _round(arrays, {m: centres[m] for m in sorted(moving)})
-        for m, (s, n, _, _) in sums.items():
-            moved = np.where(n[:, None] > 0, s / np.maximum(n, 1e-300)[:, None], centres[m])
-            shift = np.sqrt(((moved - centres[m]) ** 2).sum(1)).max()
-            centres[m], rounds[m] = moved, rounds[m] + 1
-            if shift <= tol:
-                moving.discard(m)
-    final = _round(arrays, centres)
+    blocks = packed(vectors, features_col, weight_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = blocks.rdd.getNumPartitions()
+        for _ in range(max_iter):
+            if not moving:
+                break
+            sums = _round(blocks, {m: centres[m] for m in sorted(moving)}, parts)
+            for m, (s, n, _, _) in sums.items():
+                moved = np.where(n[:, None] > 0, s / np.maximum(n, 1e-300)[:, None], centres[m])
+                shift = np.sqrt(((moved - centres[m]) ** 2).sum(1)).max()
+                centres[m], rounds[m] = moved, rounds[m] + 1
+                if shift <= tol:
+                    moving.discard(m)
+        final = _round(blocks, centres, parts)
+    finally:
+        blocks.unpersist()
     return {key: (centres[i], final[i][3], rounds[i]) for i, key in enumerate(keys)}
 
 
@@ -178,10 +222,11 @@ def silhouettes(
     """
     if not models:
         return {}
-    arrays = vector_arrays(vectors, features_col, weight_col)
+    blocks = packed(vectors, features_col, weight_col)
+    parts = blocks.rdd.getNumPartitions()
     where, C = _sizes(models), np.concatenate(list(models.values()))
     squares = (C * C).sum(1)
-    sums = _round(arrays, models)
+    sums = _round(blocks, models, parts)
     n = np.concatenate([sums[m][1] for m in models])
     size = np.maximum(n, 1e-300)
     means = np.concatenate([sums[m][0] for m in models]) / size[:, None]
@@ -202,7 +247,7 @@ def silhouettes(
             valid = (peers > 0) & np.isfinite(outer) & (top > 0)
             total[i] += float((np.divide(outer - inner, top, out=np.zeros(len(X)), where=valid) * w).sum())
 
-    got = _summed(arrays, len(models), add)
+    got = _summed(blocks, len(models), add, parts)
     return {m: float(got[i] / n[part].sum()) if n[part].sum() > 0 else 0.0 for i, (m, part) in enumerate(where.items())}
 
 

@@ -77,3 +77,16 @@ def test_restarts_share_their_scans_and_the_inertia_is_that_of_the_returned_cent
     assert np.isclose(inertia, ((X[:, None] - centres) ** 2).sum(2).min(1).sum(), rtol=1e-9)
     assert len(scans) == 3 and max(scans) < 40  # two rounds and the final cost, whatever the restarts
     assert {r["segment_id"] for r in model.transform(df).select("segment_id").collect()} == set(range(5))
+
+
+def test_partial_sums_are_few_pieces_and_the_same_added_by_spark_or_here(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    X, C = rng.normal(size=(300, 4)), rng.normal(size=(6, 4))
+    blocks = kb.packed(spark.createDataFrame([(Vectors.dense(x),) for x in X], ["features"]).repartition(5))
+    assert blocks.columns == ["x", "w"] and blocks.count() <= 5  # blocks of vectors, not one row a vector
+    j = ((X[:, None] - C) ** 2).sum(2).argmin(1)
+    for direct in (kb.DIRECT, 0):
+        monkeypatch.setattr(kb, "DIRECT", direct)
+        sums, n, squares, cost = kb._round(blocks, {0: C}, 5)[0]
+        assert np.allclose(sums, [X[j == k].sum(0) for k in range(6)]) and n.tolist() == np.bincount(j, minlength=6).tolist()
+        assert np.isclose(squares.sum(), (X * X).sum()) and np.isclose(cost, ((X[:, None] - C) ** 2).sum(2).min(1).sum())
