@@ -20,9 +20,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialised
@@ -172,6 +173,75 @@ def _round(blocks: DataFrame, models: dict[int, np.ndarray], parts: int) -> dict
     }
 
 
+def _distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    return np.maximum((X * X).sum(1)[:, None] + (C * C).sum(1) - 2 * (X @ C.T), 0.0)
+
+
+def _drawn(blocks: DataFrame, chosen: list[np.ndarray], n: int, seed: int) -> list[np.ndarray]:
+    """One scan: per restart ``n`` vectors drawn without replacement, weighted by weight x squared distance to the
+    nearest chosen vector (by weight alone where none is chosen): the least of one exponential key a vector."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        kept: list[list[tuple[float, bytes]]] = [[] for _ in chosen]
+        for batch in batches:
+            for x, w in zip(batch.column("x"), batch.column("w"), strict=True):
+                weights = np.frombuffer(w.as_buffer())
+                X = np.frombuffer(x.as_buffer()).reshape(len(weights), -1)
+                xx = (X * X).sum(1)
+                for r, C in enumerate(chosen):
+                    d = _distances(X, C).min(1) if len(C) else np.ones(len(X))
+                    d = np.where(d > 1e-12 * xx, d, 0.0)  # what rounding leaves of a copy is 0
+                    chance = weights * d
+                    key = rng.exponential(size=len(X)) / np.where(chance > 0, chance, 1.0)
+                    key[chance <= 0] = np.inf
+                    least = np.argsort(key, kind="stable")[:n]
+                    kept[r] = sorted(kept[r] + [(float(key[i]), X[i].tobytes()) for i in least if key[i] < np.inf])[:n]
+        rows = [(r, key, x) for r, some in enumerate(kept) for key, x in some]
+        if rows:
+            columns = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.binary())], ["r", "key", "x"]
+            )
+
+    keyed = blocks.mapInArrow(task, "r int, key double, x binary")
+    rank = F.row_number().over(W.partitionBy("r").orderBy("key", "x"))
+    found = keyed.withColumn("_n", rank).where(F.col("_n") <= n).orderBy("r", "_n").collect()  # restarts x n rows
+    return [np.array([np.frombuffer(row["x"]) for row in found if row["r"] == r]) for r in range(len(chosen))]
+
+
+def parallel_starts(vectors: DataFrame, k: int, restarts: int, seed: int = 42, steps: int = 2,
+                    features_col: str = "features", weight_col: str | None = None) -> list[np.ndarray]:
+    """k-means|| over all rows for every restart at once: a random vector, then ``steps`` draws of 2k vectors by
+    distance to those chosen, one scan each; the candidates, weighted by the rows nearest to them, are reduced to
+    k by k-means++. Empty for no vectors."""
+    blocks = packed(vectors, features_col, weight_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        chosen = _drawn(blocks, [np.zeros((0, 0))] * restarts, 1, seed)
+        if not all(len(c) for c in chosen):
+            return []
+        for step in range(1, steps + 1):
+            more = _drawn(blocks, chosen, 2 * k, seed + step)
+            chosen = [np.vstack([c, m]) if len(m) else c for c, m in zip(chosen, more, strict=True)]
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = [np.zeros(len(C)) for C in chosen]
+            for batch in batches:
+                for x, w in zip(batch.column("x"), batch.column("w"), strict=True):
+                    weights = np.frombuffer(w.as_buffer())
+                    X = np.frombuffer(x.as_buffer()).reshape(len(weights), -1)
+                    for C, t in zip(chosen, total, strict=True):
+                        t += np.bincount(_distances(X, C).argmin(1), weights=weights, minlength=len(C))
+            flat = np.concatenate(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["p", "v"])
+
+        sums = blocks.mapInArrow(task, "p long, v double").groupBy("p").agg(F.sum("v").alias("v")).orderBy("p").collect()
+    finally:
+        blocks.unpersist()
+    weights = np.split(np.array([row["v"] for row in sums]), np.cumsum([len(c) for c in chosen])[:-1])
+    return [plus_plus(C, w, k, seed + r) for r, (C, w) in enumerate(zip(chosen, weights, strict=True))]
+
+
 def fit_many(
     vectors: DataFrame,
     ks: Sequence[int],

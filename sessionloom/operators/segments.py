@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from ..config import make_config
 from ..functions.numeric import round_half_up
 from ..functions.text import segment_label
-from .kmeans_batch import fit_many, silhouettes, stored_vectors
+from .kmeans_batch import fit_many, parallel_starts, silhouettes, stored_vectors
 from .ranking import sample_rows
 from .textsignals import unit_features
 
@@ -128,8 +128,8 @@ def train_kmeans(
 ) -> tuple[KMeansModel, float]:
     """Best of several seeded fits and its inertia. ``vectors`` should be unit length and persisted.
 
-    Each restart's first centres are MLlib's over all rows; then all restarts move together, one scan a round
-    (``kmeans_batch``). ``weight_col`` counts how often a vector occurs (see ``folded_vectors``). ``k-means++``
+    All restarts take their k-means|| centres over all rows in a few shared scans (other starts are MLlib's), then
+    move together, one scan a round (``kmeans_batch``). ``weight_col`` counts how often a vector occurs (see ``folded_vectors``). ``k-means++``
     is accepted and means its parallel form ``k-means||``.
     """
     mode = "k-means||" if init == "k-means++" else init
@@ -137,7 +137,10 @@ def train_kmeans(
     try:
         rows = arrays.select(array_to_vector("x").alias(features_col), "w")
         first: dict[tuple[int, int], np.ndarray] = {}
-        for attempt in range(restarts):
+        if mode == "k-means||":
+            starts = parallel_starts(arrays, n_clusters, restarts, seed, features_col="x", weight_col="w")
+            first = {(n_clusters, attempt): start for attempt, start in enumerate(starts)}
+        for attempt in range(len(first), restarts):
             start = KMeans(
                 k=n_clusters, initMode=mode, maxIter=0, seed=seed + attempt, featuresCol=features_col, weightCol="w"
             )

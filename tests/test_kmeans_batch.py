@@ -90,3 +90,20 @@ def test_partial_sums_are_few_pieces_and_the_same_added_by_spark_or_here(spark,
         sums, n, squares, cost = kb._round(blocks, {0: C}, 5)[0]
         assert np.allclose(sums, [X[j == k].sum(0) for k in range(6)]) and n.tolist() == np.bincount(j, minlength=6).tolist()
         assert np.isclose(squares.sum(), (X * X).sum()) and np.isclose(cost, ((X[:, None] - C) ** 2).sum(2).min(1).sum())
+
+
+def test_starts_of_all_restarts_come_from_four_scans_and_cover_far_groups(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    X = np.concatenate([rng.normal(m, 0.1, (n, 2)) for m, n in ((0, 200), (50, 5), (-70, 3))])
+    df = spark.createDataFrame([(Vectors.dense(x), 2.0) for x in X], ["features", "weight"]).repartition(3).cache()
+    scans = []
+    drawn = kb._drawn
+    monkeypatch.setattr(kb, "_drawn", lambda *a: scans.append(1) or drawn(*a))
+    starts = kb.parallel_starts(df, 3, 6, weight_col="weight")
+    assert len(scans) == 3 and len(starts) == 6  # and one for the weights, whatever the restarts
+    for c in starts:
+        assert sorted(round(float(v), -1) for v in c.mean(1)) == [-70, 0, 50]
+        assert all((np.abs(X - p).sum(1) == 0).any() for p in c)
+    one = kb.parallel_starts(spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 4, ["features"]), 2, 2)
+    assert [c.tolist() for c in one] == [[[1.0, 2.0]] * 2] * 2
+    assert kb.parallel_starts(df.where("weight < 0"), 3, 2, weight_col="weight") == []
