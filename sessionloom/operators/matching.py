@@ -30,6 +30,10 @@ def _random_forest(cfg: dict, n_rows: int) -> Estimator:
         weightCol="weight",
         # more node statistics per pass: fewer passes over the data at depth 12
         maxMemoryInMB=1024,
+        # a pass starts from each row's node in each tree, not from all roots again; a pass a level is too short a
+        # lineage to write these ids (one number a row and tree) to the shared folder
+        cacheNodeIds=True,
+        checkpointInterval=-1,
     )
 
 

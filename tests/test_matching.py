@@ -73,6 +73,20 @@ def test_estimator_defaults():
     assert mt.build_estimator("logistic_regression", n_rows=50).getRegParam() == 0.02
 
 
+def test_forest_passes_start_from_kept_nodes(spark, features):
+    forest = mt.build_estimator("random_forest", {"rf_params": {"n_estimators": 5}})
+    assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
+    one = features.where("split = 'train'").select("label", *FEATURE_COLS).coalesce(1)
+    sizes = mt.label_sizes(one)
+    pipeline = mt.matching_pipeline("random_forest", {"rf_params": {"n_estimators": 5}}, sum(sizes.values()))
+    grown = []
+    for kept in (True, False):
+        pipeline.getStages()[-1].setCacheNodeIds(kept)
+        forest = pipeline.fit(mt.with_balanced_weights(one, sizes)).stages[-1]
+        grown.append([tree.toDebugString.split("\n", 1)[1] for tree in forest.trees])
+    assert grown[0] == grown[1]  # the same trees, whether their nodes are kept or found again
+
+
 def test_save_load_predict(spark, workspace, sessions, features, tmp_path):
     model = mt.fit_on(features, "random_forest", SMALL)
     path = str(tmp_path / "model")
