@@ -8,7 +8,6 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -132,24 +131,31 @@ def train_kmeans(
     move together, one scan a round (``kmeans_batch``). ``weight_col`` counts how often a vector occurs (see ``folded_vectors``). ``k-means++``
     is accepted and means its parallel form ``k-means||``.
     """
-    mode = "k-means||" if init == "k-means++" else init
     arrays = stored_vectors(vectors, features_col, weight_col)
     try:
-        rows = arrays.select(array_to_vector("x").alias(features_col), "w")
-        first: dict[tuple[int, int], np.ndarray] = {}
-        if mode == "k-means||":
-            starts = parallel_starts(arrays, n_clusters, restarts, seed, features_col="x", weight_col="w")
-            first = {(n_clusters, attempt): start for attempt, start in enumerate(starts)}
-        for attempt in range(len(first), restarts):
-            start = KMeans(
-                k=n_clusters, initMode=mode, maxIter=0, seed=seed + attempt, featuresCol=features_col, weightCol="w"
-            )
-            first[(n_clusters, attempt)] = np.array(start.fit(rows).clusterCenters())
-        fits = fit_many(arrays, [n_clusters], restarts, max_iter=max_iter, features_col="x", weight_col="w", init=first)
+        return _train_stored(arrays, n_clusters, init, max_iter, seed, restarts, features_col)
     finally:
         arrays.unpersist()
+
+
+def _train_stored(
+    arrays: DataFrame, n_clusters: int, init: str, max_iter: int, seed: int, restarts: int, features_col: str = "features"
+) -> tuple[KMeansModel, float]:
+    """``train_kmeans`` over ``stored_vectors``."""
+    mode = "k-means||" if init == "k-means++" else init
+    rows = arrays.select(array_to_vector("x").alias(features_col), "w")
+    first: dict[tuple[int, int], np.ndarray] = {}
+    if mode == "k-means||":
+        starts = parallel_starts(arrays, n_clusters, restarts, seed, features_col="x", weight_col="w")
+        first = {(n_clusters, attempt): start for attempt, start in enumerate(starts)}
+    for attempt in range(len(first), restarts):
+        start = KMeans(
+            k=n_clusters, initMode=mode, maxIter=0, seed=seed + attempt, featuresCol=features_col, weightCol="w"
+        )
+        first[(n_clusters, attempt)] = np.array(start.fit(rows).clusterCenters())
+    fits = fit_many(arrays, [n_clusters], restarts, max_iter=max_iter, features_col="x", weight_col="w", init=first)
     centres, inertia, _ = min(fits.values(), key=lambda f: f[1])
-    return kmeans_model(vectors.sparkSession, centres, features_col), inertia
+    return kmeans_model(arrays.sparkSession, centres, features_col), inertia
 
 
 def kmeans_model(spark: SparkSession, centres: np.ndarray, features_col: str = "features") -> KMeansModel:
@@ -193,14 +199,21 @@ def find_best_k(
     taken = taken if sample_size is None else subsample(taken, sample_size, id_col, seed)
     vectors = unit_features(taken, vector_col)
     folded = stored_vectors(folded_vectors(vectors), weight_col="weight")
-    columns = {"features_col": "x", "weight_col": "w"}
     try:
-        # every k and restart in one scan per round (kmeans_batch); the best restart of each k is scored
-        fits = fit_many(folded, list(k_range), restarts, seed=seed, max_iter=max_iter, **columns)
-        best = {k: min((f for (of, _), f in fits.items() if of == k), key=lambda f: f[1])[0] for k in k_range if fits}
-        scores = dict.fromkeys(k_range, 0.0) | silhouettes(folded, best, **columns)
+        return _best_k_stored(folded, k_range, seed, restarts, max_iter)
     finally:
         folded.unpersist()
+
+
+def _best_k_stored(
+    folded: DataFrame, k_range: Sequence[int], seed: int, restarts: int, max_iter: int = 300
+) -> tuple[int, dict[int, float]]:
+    """``find_best_k`` over ``stored_vectors``."""
+    columns = {"features_col": "x", "weight_col": "w"}
+    # every k and restart in one scan per round (kmeans_batch); the best restart of each k is scored
+    fits = fit_many(folded, list(k_range), restarts, seed=seed, max_iter=max_iter, **columns)
+    best = {k: min((f for (of, _), f in fits.items() if of == k), key=lambda f: f[1])[0] for k in k_range if fits}
+    scores = dict.fromkeys(k_range, 0.0) | silhouettes(folded, best, **columns)
     return min(scores, key=lambda k: (-scores[k], k)), scores
 
 
@@ -349,17 +362,17 @@ def run_segmentation(
     seg = make_config(cfg)["segmentation"]
     seed = seg["kmeans_random_state"]
     k_range, n_clusters, search = list(seg["k_search_range"]), seg["n_clusters"], {}
-    if len(k_range) > 1:
-        n_clusters, search = find_best_k(
-            sessions, k_range, id_col, vector_col, seed=seed, restarts=seg["search_restarts"]
-        )
     vectors = unit_features(sessions.select(id_col, vector_col), vector_col).drop(vector_col)
-    folded = folded_vectors(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    # folded and written once: the k search, the fit and the silhouette read the same files
+    folded = stored_vectors(folded_vectors(vectors), weight_col="weight")
     try:
-        model, inertia = train_kmeans(
-            folded, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"], weight_col="weight"
+        if len(k_range) > 1:
+            n_clusters, search = _best_k_stored(folded, k_range, seed, seg["search_restarts"])
+        model, inertia = _train_stored(
+            folded, n_clusters, seg["kmeans_init"], seg["kmeans_max_iter"], seed, seg["kmeans_restarts"]
         )
-        silhouette = silhouettes(folded, {n_clusters: np.array(model.clusterCenters())}, weight_col="weight")[n_clusters]
+        centres = np.array(model.clusterCenters())
+        silhouette = silhouettes(folded, {n_clusters: centres}, features_col="x", weight_col="w")[n_clusters]
     finally:
         folded.unpersist()
     segmented = assign_segments(unit_features(sessions, vector_col), model).drop("features")

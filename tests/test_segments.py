@@ -169,3 +169,26 @@ def test_folded_vectors_keep_the_objective(spark, blobs):
     centres = model.clusterCenters()
     total = sum(float(((r["v"] - centres[r["segment_id"]]) ** 2).sum()) for r in placed.select("v", "segment_id").collect())
     assert abs(total - inertia) < 1e-6
+
+
+def test_run_folds_its_vectors_once(spark, monkeypatch):
+    shapes = np.eye(6)[[0, 0, 1, 1, 2, 2, 3, 3]] + np.repeat([0.0, 0.1], 4)[:, None]
+    rows = [
+        (f"s{i}", [float(x) for x in shapes[i % 8]], f"word{i % 4}", ["chess"], "mobile", 0.5, 10, 1, 2) for i in range(48)
+    ]
+    schema = (
+        "session_id string, embedding array<double>, keywords string, content_categories array<string>, "
+        "device_type string, scroll_depth_avg double, session_duration_s long, click_count long, pages_visited long"
+    )
+    sessions = spark.createDataFrame(rows, schema)
+    real, folds = sg.folded_vectors, []
+    monkeypatch.setattr(sg, "folded_vectors", lambda *a, **k: folds.append(1) or real(*a, **k))
+    cfg = {"segmentation": {"k_search_range": [2, 3, 4], "search_restarts": 2, "kmeans_restarts": 2}}
+    result = sg.run_segmentation(sessions, cfg)
+    assert len(folds) == 1  # one shuffle of the vectors for the k search and the fit
+    n_clusters, search = sg.find_best_k(sessions, [2, 3, 4], "session_id", restarts=2)
+    assert result.n_clusters == n_clusters
+    assert result.search == pytest.approx(search)
+    placed = sg.assign_segments(unit_features(sessions, "embedding"), result.model)
+    assert result.silhouette == pytest.approx(sg.squared_silhouette(placed), abs=1e-6)
+    assert result.segmented.count() == 48 and result.profiles.agg(F.sum("n_sessions")).first()[0] == 48
